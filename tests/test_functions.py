@@ -1,0 +1,107 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from eddyflow.functions import (format_record, ip_to_number, java_split_words, number_to_ip,
+                                parse_order_lines, split_rejects)
+
+
+def java_split(s: str) -> list[str]:
+    """Model of Java's String.split(" ") (limit 0)."""
+    if s == "":
+        return [""]
+    parts = s.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+SPLIT_CASES = [
+    ("a b", ["a", "b"]),
+    ("a  b", ["a", "", "b"]),
+    (" a", ["", "a"]),
+    ("a   ", ["a"]),
+    ("", [""]),
+    ("   ", []),
+    ("a \n", ["a", "\n"]),
+    ("a\tb c", ["a\tb", "c"]),
+    ("\n ", ["\n"]),
+    ("Hello World", ["Hello", "World"]),
+]
+
+
+def _split_all(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", java_split_words(F.col("t")).alias("w")).collect()
+    return {r["i"]: list(r["w"]) for r in rows}
+
+
+def test_java_split_table(spark):
+    got = _split_all(spark, [t for t, _ in SPLIT_CASES])
+    for i, (text, want) in enumerate(SPLIT_CASES):
+        assert got[i] == want, text
+        assert java_split(text) == want
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n\t", max_size=12), min_size=1, max_size=25))
+def test_java_split_property(spark, texts):
+    got = _split_all(spark, texts)
+    for i, t in enumerate(texts):
+        assert got[i] == java_split(t)
+
+
+def test_null_text_gives_no_words(spark):
+    df = spark.createDataFrame([(None,)], "t string")
+    assert df.select(F.explode(java_split_words(F.col("t")))).count() == 0
+
+
+IP_CASES = [
+    ("114.215.43.42", 1926703914),
+    ("202.106.196.115", 3395994739),
+    ("255.255.255.255", 4294967295),
+    ("1.300.0.0", 19660800),
+    ("0.0.0.0", 0),
+    ("16.0.0.0", 16 << 24),
+]
+
+
+def test_ip_to_number(spark):
+    df = spark.createDataFrame([(ip,) for ip, _ in IP_CASES], "ip string")
+    got = {r["ip"]: r["n"] for r in df.select("ip", ip_to_number(F.col("ip")).alias("n")).collect()}
+    assert got == dict(IP_CASES)
+
+
+def test_number_to_ip_round_trip(spark):
+    df = spark.createDataFrame([(n,) for _, n in IP_CASES if n <= 4294967295 and _ != "1.300.0.0"], "n bigint")
+    rows = df.select("n", ip_to_number(number_to_ip(F.col("n"))).alias("back")).collect()
+    assert all(r["n"] == r["back"] for r in rows)
+
+
+def test_parse_order_line(spark):
+    df = spark.createDataFrame([("A 202.106.196.115 手机 iPhone8 8000",), ("B 1.2.3.4 c i 1.5 extra",)], "value string")
+    rows = parse_order_lines(df).collect()
+    assert [tuple(r) for r in rows] == [("A", "202.106.196.115", "手机", "iPhone8", 8000.0),
+                                        ("B", "1.2.3.4", "c", "i", 1.5)]
+
+
+@pytest.mark.parametrize("bad", ["A 1.2.3.4 c i", "A 1.2.3.4 c i notanumber", None])
+def test_strict_parse_fails_the_batch(spark, bad):
+    df = spark.createDataFrame([("A 1.2.3.4 c i 5",), (bad,)], "value string")
+    with pytest.raises(Exception, match="malformed order line"):
+        parse_order_lines(df).collect()
+
+
+def test_permissive_parse_routes_rejects(spark):
+    df = spark.createDataFrame([("A 1.2.3.4 c i 5",), ("short line",), ("A 1.2.3.4 c i x",)], "value string")
+    good, bad = split_rejects(parse_order_lines(df, strict=False))
+    assert good.count() == 1 and bad.count() == 2
+
+
+def test_format_record(spark):
+    df = spark.createDataFrame([(7, "k", "v"), (8, None, "w")], "offset bigint, key string, value string")
+    got = [r[0] for r in df.select(format_record(F.col("offset"), F.col("value"), F.col("key"))).collect()]
+    assert got == ["offset = 7, key = k, value = v", "offset = 8, key = null, value = w"]
+    got = [r[0] for r in df.select(format_record(F.col("offset"), F.col("value"))).collect()]
+    assert got == ["offset = 7, value = v", "offset = 8, value = w"]
