@@ -69,22 +69,22 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------- word counts
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(read_table(spark, sf_dir, "documents", "text"))
+    return word_count(read_table(spark, sf_dir, "documents", "text", spread=True))
 
 
 def q_word_count_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_words(word_count(read_table(spark, sf_dir, "documents", "text")), 10)
+    return top_words(word_count(read_table(spark, sf_dir, "documents", "text", spread=True)), 10)
 
 
 def q_word_count_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sorted_word_count(word_count(read_table(spark, sf_dir, "documents", "text")))
+    return sorted_word_count(word_count(read_table(spark, sf_dir, "documents", "text", spread=True)))
 
 
 def q_word_count_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts appended to the ``access_log`` table (Parquet in the shared
     folder; ``sinks.jdbc`` writes the same rows to a SQL table) and read back."""
     path = shared_path(spark, "access_log")
-    append_table(word_count(read_table(spark, sf_dir, "benchmark", "text")).select("word", "cnt"), path)
+    append_table(word_count(read_table(spark, sf_dir, "benchmark", "text", spread=True)).select("word", "cnt"), path)
     return spark.read.schema("word string, cnt bigint").parquet(path)
 
 
@@ -111,7 +111,7 @@ def q_word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     running count; the totals after the last batch."""
     base = shared_path(spark, "running")
     stage, out, ckpt = (f"{base}/{d}" for d in ("stage", "out", "ckpt"))
-    files = stage_as_files(read_table(spark, sf_dir, "conversations", "text")
+    files = stage_as_files(read_table(spark, sf_dir, "conversations", "text", spread=True)
                            .select(F.col("text").alias("value")), stage, REPLAY_BATCHES)
     stream = (spark.readStream.schema("value string")
               .option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES)).parquet(stage))

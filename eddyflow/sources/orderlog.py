@@ -31,7 +31,7 @@ def order_log_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     the part join into a broadcast only when the measured side is small, and
     splits skewed keys in a shuffled join).
     """
-    lineitem = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_extendedprice")
+    lineitem = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_extendedprice", spread=True)
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_name")
     joined = (lineitem

@@ -4,9 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import default_parallelism
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
+               spread: bool = False) -> DataFrame:
     """``<sf_dir>/<name>.parquet``; naming ``columns`` makes the projection
-    explicit (Catalyst would prune anyway, this keeps the plan obvious)."""
+    explicit (Catalyst would prune anyway, this keeps the plan obvious).
+
+    ``spread`` is for inputs with heavy per-row work (tokenising, building
+    lines): see ``spread_partitions``.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    return spread_partitions(df) if spread else df
+
+
+def spread_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread the rows over ``min_partitions`` (default: the cluster's cores)
+    only when the scan yields fewer splits than that, e.g. one large file with
+    a single row group.  A large multi-file input already has at least that
+    many splits and is returned untouched, with no shuffle.
+
+    The rows are hashed on all their columns: deterministic under task retry
+    without the pre-sort a round-robin repartition needs, and even unless
+    whole rows repeat.
+    """
+    want = min_partitions or default_parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *df.columns)

@@ -95,3 +95,54 @@ def flat_totals(spark: SparkSession, metric_ledger: str) -> DataFrame:
 
 def stored_offsets(spark: SparkSession, offset_ledger: str, group_id: str) -> DataFrame:
     return latest_offsets(read_offset_ledger(spark, offset_ledger), group_id)
+
+
+BASE_SCHEMA = "metric string, key string, delta decimal(28,2), query string, upto_batch bigint"
+
+
+def compact_metric_ledger(spark: SparkSession, metric_ledger: str, base_root: str, query: str,
+                          upto_batch: int) -> None:
+    """Fold the deltas of batches ``<= upto_batch`` (and the previous base)
+    into a base snapshot ``base_root/query=../upto_batch=N``.
+
+    Nothing is deleted or rewritten: the totals view reads the newest base
+    plus only the delta partitions after it (partition pruning on
+    ``batch_id``), so it stays fast however long the stream runs.  Re-running
+    a compaction for the same N overwrites that snapshot with the same rows.
+    """
+    prev = _latest_base(spark, base_root, query)
+    deltas = read_metric_store(spark, metric_ledger).where(
+        (F.col("query") == query) & (F.col("batch_id") <= upto_batch))
+    parts = [deltas.select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta"))]
+    if prev is not None:
+        base_rows, base_upto = prev
+        parts = [deltas.where(F.col("batch_id") > base_upto)
+                 .select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta")), base_rows]
+    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    snap = (merged.groupBy("metric", "key").agg(F.sum("delta").cast("decimal(28,2)").alias("delta"))
+            .withColumn("query", F.lit(query)).withColumn("upto_batch", F.lit(upto_batch).cast("bigint")))
+    overwrite_partitions(snap, base_root, ["query", "upto_batch"])
+
+
+def _latest_base(spark: SparkSession, base_root: str, query: str):
+    try:
+        bases = spark.read.schema(BASE_SCHEMA).parquet(base_root).where(F.col("query") == query)
+    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return None
+    upto = bases.agg(F.max("upto_batch")).first()[0]
+    if upto is None:
+        return None
+    return bases.where(F.col("upto_batch") == upto).select("metric", "key", "delta"), int(upto)
+
+
+def order_totals_compacted(spark: SparkSession, metric_ledger: str, base_root: str, query: str) -> DataFrame:
+    """``metric, key, income``: newest base snapshot plus later deltas."""
+    deltas = read_metric_store(spark, metric_ledger).where(F.col("query") == query)
+    prev = _latest_base(spark, base_root, query)
+    rows = deltas.select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta"))
+    if prev is not None:
+        base_rows, upto = prev
+        rows = (deltas.where(F.col("batch_id") > upto)
+                .select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta"))
+                .unionByName(base_rows))
+    return rows.groupBy("metric", "key").agg(F.sum("delta").cast("double").alias("income"))

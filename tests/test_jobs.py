@@ -1,0 +1,65 @@
+import os
+import time
+
+from pyspark.sql import functions as F
+
+from eddyflow.operators import prepare_ranges
+from eddyflow.streaming import (OrderMetricsBatch, batch_word_count_preview, compact_metric_ledger,
+                                order_metrics_job, order_totals, order_totals_compacted, resume_options,
+                                run_to_end, running_word_count_preview, sorted_batch_word_count)
+
+
+def _write(path, name, lines):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    time.sleep(0.05)
+
+
+def _rules(spark):
+    df = spark.createDataFrame([(16 << 24, (19 << 24) - 1, "A")], "start_num bigint, end_num bigint, province string")
+    return prepare_ranges(df)
+
+
+def test_preview_jobs_run(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write(src, "a.txt", ["a b", "a"])
+    run_to_end(batch_word_count_preview(spark.readStream.text(src), str(tmp_path / "ck1"), "available_now"), 120)
+    run_to_end(running_word_count_preview(spark.readStream.text(src), str(tmp_path / "ck2"), "available_now",
+                                          state_partitions=2), 120)
+
+
+def test_sorted_batch_word_count(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    _write(src, "a.txt", ["c b a", "c b", "c"])
+    run_to_end(sorted_batch_word_count(spark.readStream.text(src), out, str(tmp_path / "ck"), "available_now"), 120)
+    rows = spark.read.parquet(out).orderBy("position").collect()
+    assert [(r["word"], r["cnt"], r["position"], r["batch_id"]) for r in rows] == [
+        ("a", 1, 1, 0), ("b", 2, 2, 0), ("c", 3, 3, 0)]
+
+
+def test_order_job_and_compaction(spark, tmp_path):
+    src, ledger, base = (str(tmp_path / d) for d in ("src", "ledger", "base"))
+    for i in range(4):
+        _write(src, f"f{i}.txt", [f"b{i} 16.0.0.{i} cat{i % 2} item {10 + i}", f"b{i} 99.0.0.1 cat0 item 0.5"])
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
+    run_to_end(order_metrics_job(stream, _rules(spark), ledger, str(tmp_path / "ck"), "q", trigger="available_now"), 300)
+    full = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, ledger, "q").collect()}
+    assert full[("total", "TOTAL_INCOME")] == 10 + 11 + 12 + 13 + 4 * 0.5
+    assert full[("province", "")] == 2.0
+    compact_metric_ledger(spark, ledger, base, "q", 1)
+    assert {(r["metric"], r["key"]): r["income"] for r in order_totals_compacted(spark, ledger, base, "q").collect()} == full
+    compact_metric_ledger(spark, ledger, base, "q", 3)
+    compact_metric_ledger(spark, ledger, base, "q", 3)
+    assert {(r["metric"], r["key"]): r["income"] for r in order_totals_compacted(spark, ledger, base, "q").collect()} == full
+
+
+def test_resume_options_from_ledger(spark, tmp_path):
+    ledger = str(tmp_path / "offsets")
+    job = OrderMetricsBatch(_rules(spark), str(tmp_path / "m"), "q", offset_ledger=ledger, group_id="g")
+    recs = spark.createDataFrame([("orders", 0, 41, None, "a 16.0.0.1 c i 1"), ("orders", 2, 7, None, "a 16.0.0.1 c i 1")],
+                                 "topic string, partition int, offset bigint, key string, value string")
+    job(recs, 0)
+    opts = resume_options(spark, "h:9092", "orders", "g", ledger, 3)
+    assert opts["startingOffsets"] == '{"orders": {"0": 42, "1": -2, "2": 8}}'
+    assert resume_options(spark, "h:9092", "orders", "other", ledger, 3)["startingOffsets"] == "earliest"
