@@ -12,13 +12,19 @@ def ip_to_number(ip: Column) -> Column:
     Any number of parts is accepted and no range is checked, so an octet above
     255 ORs into the neighbouring bits (``1.300.0.0`` gives 19660800), as in the
     original lookup.  A non-numeric part is a cast error under ANSI mode.
+    """
+    return ip_parts_to_number(F.split(ip, r"\."))
+
+
+def ip_parts_to_number(parts: Column) -> Column:
+    """``ip_to_number`` on already split parts.  Give it a column computed
+    in an earlier projection so the split runs once per row.
 
     For the usual four parts the fold equals ``p0<<24 | p1<<16 | p2<<8 | p3``
     (shifts distribute over OR), which stays inside whole-stage codegen; the
     general fold (a higher-order function, evaluated outside codegen) is only
     reached by other part counts.
     """
-    parts = F.split(ip, r"\.")
     p = [F.get(parts, i).cast("bigint") for i in range(4)]
     four = (F.shiftleft(p[0], 24).bitwiseOR(F.shiftleft(p[1], 16))
             .bitwiseOR(F.shiftleft(p[2], 8)).bitwiseOR(p[3]))

@@ -33,10 +33,12 @@ def parse_order_lines(df: DataFrame, value_col: str = "value", strict: bool = Tr
     """Split ``value_col`` into the five named fields (price as double).
 
     ``keep`` names input columns to carry along (e.g. Kafka offsets).  In
-    permissive mode a boolean column ``malformed`` is added.
+    permissive mode a boolean column ``malformed`` is added.  The line is
+    split once, in its own projection, and the fields are taken from it.
     """
-    value = F.col(value_col)
-    parts = F.split(value, " ")
+    split = df.select(*[F.col(c) for c in keep], F.col(value_col).alias("_line"),
+                      F.split(F.col(value_col), " ").alias("_parts"))
+    value, parts = F.col("_line"), F.col("_parts")
     price = F.get(parts, 4).try_cast("double")
     bad = _bad_line(value, parts, price)
     if strict:
@@ -52,7 +54,7 @@ def parse_order_lines(df: DataFrame, value_col: str = "value", strict: bool = Tr
     ]
     if not strict:
         cols.append(bad.alias("malformed"))
-    return df.select(*cols)
+    return split.select(*cols)
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

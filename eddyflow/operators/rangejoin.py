@@ -40,17 +40,24 @@ class RangeTable:
 def prepare_ranges(rules: DataFrame, start: str = "start_num", end: str = "end_num",
                    payload: tuple[str, ...] = ("province",), bucket_bits: int = DEFAULT_BUCKET_BITS,
                    validate: bool = True,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> RangeTable:
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   persist: bool = False) -> RangeTable:
     """Explode ``rules`` to buckets; one small job counts the bucket rows and,
     with ``validate``, counts inverted and overlapping rules (fails on any).
 
     Two rules overlap only if they share a bucket, so the check compares each
     rule with the largest end of the earlier rules of its bucket.
+
+    ``persist`` keeps the (size-checked) bucket table cached, for streams
+    that broadcast it every micro-batch: it is filled by the check job and
+    recomputed from the rule source if an executor holding it is lost.
     """
     k = bucket_bits
     buckets = rules.select(
         F.explode(F.sequence(F.shiftright(F.col(start), k), F.shiftright(F.col(end), k))).alias("_bucket"),
         F.col(start).alias("_start"), F.col(end).alias("_end"), *payload)
+    if persist:
+        buckets = buckets.persist()
     if validate:
         earlier = (Window.partitionBy("_bucket").orderBy("_start", "_end")
                    .rowsBetween(Window.unboundedPreceding, -1))

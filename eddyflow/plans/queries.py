@@ -54,8 +54,8 @@ def ip_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_rule_lines(lines)
 
 
-def rule_table(spark: SparkSession, sf_dir: str) -> RangeTable:
-    return prepare_ranges(ip_rules(spark, sf_dir))
+def rule_table(spark: SparkSession, sf_dir: str, persist: bool = False) -> RangeTable:
+    return prepare_ranges(ip_rules(spark, sf_dir), persist=persist)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +164,7 @@ def q_order_running_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = stage_as_files(order_log_from_tables(spark, sf_dir), stage, REPLAY_BATCHES, fmt="text")
     stream = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES))
               .text(stage))
-    job = OrderMetricsBatch(rule_table(spark, sf_dir), ledger, query="orders")
+    job = OrderMetricsBatch(rule_table(spark, sf_dir, persist=True), ledger, query="orders")
     writer = (stream.writeStream.foreachBatch(_ReplayOnce(job, 1))
               .option("checkpointLocation", ckpt).trigger(availableNow=True))
     run_to_end(writer.start(), STREAM_TIMEOUT_S)

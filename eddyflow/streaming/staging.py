@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame
 
 
 def stage_as_files(df: DataFrame, path: str, files: int, fmt: str = "parquet") -> int:
-    """Write ``df`` under ``path`` as at least ``files`` files (no shuffle:
-    each write task cuts its output by record count).  Returns the number of
-    files written, for ``maxFilesPerTrigger``."""
-    rows = df.count()
-    per_file = max(1, math.ceil(rows / max(1, files)))
-    df.write.option("maxRecordsPerFile", per_file).format(fmt).save(path)
+    """Write ``df`` under ``path`` as at least ``files`` files, without a
+    shuffle.  A frame with that many partitions already writes one file per
+    partition; otherwise each write task cuts its output by record count
+    (one extra count).  Returns the number of files written, for
+    ``maxFilesPerTrigger``."""
+    writer = df.write.format(fmt)
+    if df.rdd.getNumPartitions() < files:
+        rows = df.count()
+        writer = writer.option("maxRecordsPerFile", max(1, math.ceil(rows / max(1, files))))
+    writer.save(path)
     return len(df.sparkSession.read.format(fmt).load(path).inputFiles())
 
 
