@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +22,27 @@ def with_global_position(df: DataFrame, order: list[Column], position_col: str =
     partition.  The offsets table has one row per partition, so broadcasting it
     is bounded by the partition count.
     """
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    ordered = df.orderBy(*order).checkpoint(eager=True)
+    checkpoint_root(df.sparkSession)
+    return _number(df.orderBy(*order).checkpoint(eager=True), position_col)
+
+
+@contextlib.contextmanager
+def cached_global_position(df: DataFrame, order: list[Column],
+                           position_col: str = "position") -> Iterator[DataFrame]:
+    """As ``with_global_position`` with the sorted partitions cached instead
+    of checkpointed, released on exit: for per-batch use in a stream, where
+    checkpoint files would pile up.  A lost cached block is recomputed through
+    the same range-partitioned shuffle; with a total order on unique keys it
+    comes back identical."""
+    ordered = df.orderBy(*order).persist()
+    try:
+        ordered.count()
+        yield _number(ordered, position_col)
+    finally:
+        ordered.unpersist()
+
+
+def _number(ordered: DataFrame, position_col: str) -> DataFrame:
     tagged = (ordered
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))

@@ -41,10 +41,15 @@ def top_words(counts: DataFrame, n: int = 10) -> DataFrame:
     return counts.orderBy(F.col("cnt").desc(), F.col("word").asc()).limit(n)
 
 
+def count_order() -> list[Column]:
+    """Ascending count, ties by word: a total order on a count table."""
+    return [F.col("cnt").asc(), F.col("word").asc()]
+
+
 def sorted_word_count(counts: DataFrame, position_col: str = "position") -> DataFrame:
     """Counts ascending (ties by word) with a 1-based ``position``.
 
     The sort is a range-partitioned global sort; the position is assigned
     without a single-partition window (see ``with_global_position``).
     """
-    return with_global_position(counts, [F.col("cnt").asc(), F.col("word").asc()], position_col)
+    return with_global_position(counts, count_order(), position_col)

@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.offsets import latest_offsets, starting_offsets_json
 from ..operators.rangejoin import RangeTable
-from ..operators.wordcount import sorted_word_count, word_count
+from ..operators.ranking import cached_global_position
+from ..operators.wordcount import count_order, word_count
 from ..sinks.console import preview_writer
 from ..sinks.tables import overwrite_partitions
 from ..sources.kafka import kafka_options, read_kafka_stream
@@ -60,9 +61,9 @@ class SortedBatchCounts:
         self.out_path = out_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        ranked = sorted_word_count(word_count(batch, "value"))
-        overwrite_partitions(ranked.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                             self.out_path, ["batch_id"])
+        with cached_global_position(word_count(batch, "value"), count_order()) as ranked:
+            overwrite_partitions(ranked.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                                 self.out_path, ["batch_id"])
 
 
 def sorted_batch_word_count(text: DataFrame, out_path: str, checkpoint: str,

@@ -139,3 +139,17 @@ def test_console_preview(spark, tmp_path):
     q = (preview_writer(counts, output_mode="complete")
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     run_to_end(q, 120)
+
+
+def test_permissive_batch_routes_rejects(spark, tmp_path):
+    from eddyflow.sources import read_metric_store
+    ledger, rejects = str(tmp_path / "ledger"), str(tmp_path / "rejects")
+    job = OrderMetricsBatch(_sf_rules(spark), ledger, query="q", strict=False, reject_path=rejects)
+    lines = spark.createDataFrame([("A 16.0.0.1 c i 10",), ("broken line",), ("B 16.0.0.2 c i notaprice",)],
+                                  "value string")
+    job(lines, 3)
+    totals = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, ledger, "q").collect()}
+    assert totals[("total", "TOTAL_INCOME")] == 10.0
+    bad = spark.read.parquet(rejects)
+    assert bad.count() == 2 and {r["batch_id"] for r in bad.collect()} == {3}
+    assert read_metric_store(spark, ledger).where("batch_id = 3").count() == 3
