@@ -20,6 +20,7 @@ from ..sinks.console import preview_writer
 from ..sinks.tables import overwrite_partitions
 from ..sources.kafka import kafka_options, read_kafka_stream
 from ..sources.ledger import read_offset_ledger
+from ..sources.tables import spread_partitions
 from .orders import OrderMetricsBatch, start_order_metrics
 from .runner import with_trigger
 from .wordcount import start_running_word_count
@@ -61,7 +62,8 @@ class SortedBatchCounts:
         self.out_path = out_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        with cached_global_position(word_count(batch, "value"), count_order()) as ranked:
+        text = spread_partitions(batch.select("value"))
+        with cached_global_position(word_count(text, "value"), count_order()) as ranked:
             overwrite_partitions(ranked.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
                                  self.out_path, ["batch_id"])
 

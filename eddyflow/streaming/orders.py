@@ -22,6 +22,7 @@ from ..operators.offsets import batch_offsets, latest_offsets
 from ..operators.rangejoin import RangeTable, range_lookup
 from ..sinks.tables import overwrite_partitions
 from ..sources.ledger import read_metric_store, read_offset_ledger
+from ..sources.tables import spread_partitions
 from .runner import with_trigger
 
 RECORD_COLUMNS = {"topic", "partition", "offset"}
@@ -54,7 +55,7 @@ class OrderMetricsBatch:
         if track:
             batch = batch.persist()  # read the source batch once for both writes
         try:
-            lines = parse_order_lines(batch, "value", strict=self.strict)
+            lines = parse_order_lines(spread_partitions(batch.select("value")), "value", strict=self.strict)
             if not self.strict:
                 lines, rejects = split_rejects(lines)
                 if self.reject_path:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.wordcount import word_count
 from ..sinks.tables import overwrite_partitions
+from ..sources.tables import spread_partitions
 from .runner import session_conf, stateful_settings, with_trigger
 
 RUNNING_SCHEMA = "word string, cnt bigint, batch_id bigint"
@@ -27,7 +28,8 @@ class PerBatchWordCount:
         self.text_col = text_col
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        counts = word_count(batch, self.text_col).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        text = spread_partitions(batch.select(self.text_col))
+        counts = word_count(text, self.text_col).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         overwrite_partitions(counts, self.out_path, ["batch_id"])
 
 
