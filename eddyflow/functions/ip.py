@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import java_split
+
 
 def ip_to_number(ip: Column) -> Column:
     """Left fold over the dot-separated parts: ``acc = part | (acc << 8)``.
 
     Any number of parts is accepted and no range is checked, so an octet above
     255 ORs into the neighbouring bits (``1.300.0.0`` gives 19660800), as in the
-    original lookup.  A non-numeric part is a cast error under ANSI mode.
+    original lookup.  Parts are split like Java's ``split("[.]")``: trailing
+    empty parts are dropped, so ``1.2.3.4.`` is read as four parts and ``...``
+    as none (0).  A non-numeric part is a cast error under ANSI mode.
     """
-    return ip_parts_to_number(F.split(ip, r"\."))
+    return ip_parts_to_number(java_split(ip, "."))
 
 
 def ip_parts_to_number(parts: Column) -> Column:

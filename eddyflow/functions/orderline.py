@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import java_split
+
 ORDER_FIELDS = ("buyer", "ip", "category", "item", "price")
 
 
@@ -37,7 +39,7 @@ def parse_order_lines(df: DataFrame, value_col: str = "value", strict: bool = Tr
     split once, in its own projection, and the fields are taken from it.
     """
     split = df.select(*[F.col(c) for c in keep], F.col(value_col).alias("_line"),
-                      F.split(F.col(value_col), " ").alias("_parts"))
+                      java_split(F.col(value_col), " ").alias("_parts"))
     value, parts = F.col("_line"), F.col("_parts")
     price = F.get(parts, 4).try_cast("double")
     bad = _bad_line(value, parts, price)

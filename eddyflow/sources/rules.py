@@ -7,22 +7,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ip import number_to_ip
+from ..functions.text import java_split
 
 # Field positions of the rule line format (fixed by the original files).
 RULE_START_FIELD = 2
 RULE_END_FIELD = 3
 RULE_PROVINCE_FIELD = 6
-RULE_SEPARATOR = r"[|]"
+RULE_SEPARATOR = "|"
 
 
 def parse_rule_lines(lines: DataFrame, value_col: str = "value", strict: bool = True) -> DataFrame:
     """``start_num, end_num, province`` from rule lines.
 
-    Strict (default): a line with fewer than seven fields or a non-numeric
-    bound fails the job, as the original loader does.
+    Fields are split like Java's ``split("[|]")`` (trailing empty fields
+    dropped).  Strict (default): a line with fewer than seven fields or a
+    non-numeric bound fails the job, as the original loader does.
     """
     value = F.col(value_col)
-    parts = F.split(value, RULE_SEPARATOR)
+    parts = java_split(value, RULE_SEPARATOR)
     start = F.get(parts, RULE_START_FIELD).try_cast("bigint")
     end = F.get(parts, RULE_END_FIELD).try_cast("bigint")
     if strict:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.ip import ip_parts_to_number
+from ..functions.text import java_split
 from ..functions.orderline import parse_order_lines, split_rejects
 from ..operators.income import metric_deltas
 from ..operators.metrics import flat_view, running_totals
@@ -31,7 +32,7 @@ RECORD_COLUMNS = {"topic", "partition", "offset"}
 def lines_with_province(lines: DataFrame, rules: RangeTable) -> DataFrame:
     """Parsed lines plus ``province`` ('' when no rule holds the IP: the line
     is kept and counted under the empty key)."""
-    split = lines.withColumn("_ip_parts", F.split(F.col("ip"), r"\."))
+    split = lines.withColumn("_ip_parts", java_split(F.col("ip"), "."))
     zoned = range_lookup(split, ip_parts_to_number(F.col("_ip_parts")), rules, how="left").drop("_ip_parts")
     return zoned.withColumn("province", F.coalesce(F.col("province"), F.lit("")))
 

@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 
 from eddyflow.functions import (format_record, ip_to_number, java_split_words, number_to_ip,
                                 parse_order_lines, split_rejects)
+from eddyflow.functions import java_split as spark_java_split
 
 
-def java_split(s: str) -> list[str]:
-    """Model of Java's String.split(" ") (limit 0)."""
+def java_split(s: str, sep: str = " ") -> list[str]:
+    """Model of Java's String.split with a one-character separator (limit 0)."""
     if s == "":
         return [""]
-    parts = s.split(" ")
+    parts = s.split(sep)
     while parts and parts[-1] == "":
         parts.pop()
     return parts
@@ -52,6 +53,15 @@ def test_java_split_property(spark, texts):
         assert got[i] == java_split(t)
 
 
+@settings(max_examples=20, deadline=None)
+@given(st.sampled_from([".", "|"]), st.lists(st.text(alphabet="a1.| ", max_size=10), min_size=1, max_size=20))
+def test_java_split_other_separators(spark, sep, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: list(r["w"]) for r in df.select("i", spark_java_split(F.col("t"), sep).alias("w")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == java_split(t, sep), (sep, t)
+
+
 def test_null_text_gives_no_words(spark):
     df = spark.createDataFrame([(None,)], "t string")
     assert df.select(F.explode(java_split_words(F.col("t")))).count() == 0
@@ -64,6 +74,11 @@ IP_CASES = [
     ("1.300.0.0", 19660800),
     ("0.0.0.0", 0),
     ("16.0.0.0", 16 << 24),
+    ("1.2.3.4.", (1 << 24) | (2 << 16) | (3 << 8) | 4),   # trailing empty part dropped
+    ("...", 0),                                             # no parts at all
+    ("5", 5),
+    ("1.2", 258),
+    ("1.2.3.4.5", (1 << 32) | (2 << 24) | (3 << 16) | (4 << 8) | 5),
 ]
 
 
@@ -74,7 +89,7 @@ def test_ip_to_number(spark):
 
 
 def test_number_to_ip_round_trip(spark):
-    df = spark.createDataFrame([(n,) for _, n in IP_CASES if n <= 4294967295 and _ != "1.300.0.0"], "n bigint")
+    df = spark.createDataFrame([(n,) for n in (0, 1926703914, 4294967295, 16 << 24)], "n bigint")
     rows = df.select("n", ip_to_number(number_to_ip(F.col("n"))).alias("back")).collect()
     assert all(r["n"] == r["back"] for r in rows)
 

@@ -32,8 +32,10 @@ def test_rule_parse(rules):
     assert [tuple(r) for r in rules.collect()] == [(268435456, 318767103, "A"), (335544320, 385875967, "B")]
 
 
-def test_rule_parse_strict(spark):
-    df = spark.createDataFrame([("1|2|3",)], "value string")
+@pytest.mark.parametrize("line", ["1|2|3", "a|b|1|2|c|d|", "a|b|x|2|c|d|P"])
+def test_rule_parse_strict(spark, line):
+    # a trailing '|' leaves six fields, as Java's split drops the empty one
+    df = spark.createDataFrame([(line,)], "value string")
     with pytest.raises(Exception, match="malformed ip rule"):
         parse_rule_lines(df).collect()
 
