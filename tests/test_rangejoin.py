@@ -98,3 +98,39 @@ def test_point_lookup_demo_ip(spark):
                                "start_num bigint, end_num bigint, province string")
     assert [r["province"] for r in point_lookup(df, 1926703914).collect()] == ["demo"]
     assert point_lookup(df, 20).count() == 0
+
+
+def test_hot_bucket_in_shuffled_fallback(spark):
+    """A third of the points in one bucket, rules too big to broadcast (bound
+    0): AQE splits the hot partition and every row still gets its rule."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        rules = spark.createDataFrame([(i << 16, (i << 16) + 1000, f"r{i}") for i in range(64)],
+                                      "start_num bigint, end_num bigint, province string")
+        table = prepare_ranges(rules, max_broadcast_rows=0)
+        n = 30000
+        pts = spark.range(n).select(
+            F.col("id"),
+            F.when(F.col("id") % 3 == 0, F.lit(5 << 16) + F.col("id") % 1000)      # hot bucket 5
+             .otherwise(F.shiftleft(F.col("id") % 64, 16) + F.col("id") % 1500).alias("p"))
+        out = range_lookup(pts, F.col("p"), table).select("id", "p", "province")
+        rows = out.collect()
+        assert len(rows) == n
+        for r in rows:
+            b, off = r["p"] >> 16, r["p"] & 0xFFFF
+            assert r["province"] == (f"r{b}" if off <= 1000 else None)
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in final and "NestedLoop" not in final
+        assert "isFinalPlan=true" in final and "skew=true" in final
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
