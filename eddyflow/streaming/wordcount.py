@@ -57,18 +57,19 @@ def _write_changed(out_path: str):
 def start_running_word_count(stream: DataFrame, out_path: str, checkpoint: str,
                              text_col: str = "value", trigger: str | None = None,
                              state_partitions: int | None = None,
-                             name: str | None = None) -> StreamingQuery:
+                             name: str | None = None, output_mode: str = "update") -> StreamingQuery:
     """Running count per word, kept in the state store; each batch emits the
     words it changed with their new totals (update mode) into ``out_path``.
 
-    Complete mode would rewrite the whole vocabulary every batch; update mode
-    writes only what changed, and ``running_counts`` reads the current totals.
+    ``output_mode="complete"`` re-emits every known word every batch, as the
+    original did; it rewrites the whole vocabulary each time, so update mode
+    is the default.  ``running_counts`` reads the current totals either way.
     State is hash-partitioned by word over ``state_partitions`` partitions,
     fixed at the first run of the checkpoint.
     """
     spark = stream.sparkSession
     counts = word_count(stream, text_col)
-    writer = (counts.writeStream.outputMode("update")
+    writer = (counts.writeStream.outputMode(output_mode)
               .foreachBatch(_write_changed(out_path))
               .option("checkpointLocation", checkpoint))
     if name:

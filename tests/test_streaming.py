@@ -153,3 +153,20 @@ def test_permissive_batch_routes_rejects(spark, tmp_path):
     bad = spark.read.parquet(rejects)
     assert bad.count() == 2 and {r["batch_id"] for r in bad.collect()} == {3}
     assert read_metric_store(spark, ledger).where("batch_id = 3").count() == 3
+
+
+def test_running_count_complete_mode_matches_update(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write_text(src, "b1.txt", ["a b c", "a"])
+    _write_text(src, "b2.txt", ["c c", "d"])
+    results = {}
+    for mode in ("update", "complete"):
+        out, ck = str(tmp_path / f"out-{mode}"), str(tmp_path / f"ck-{mode}")
+        stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
+        run_to_end(start_running_word_count(stream, out, ck, "value", "available_now", state_partitions=2,
+                                            output_mode=mode), 120)
+        results[mode] = {r["word"]: r["cnt"] for r in running_counts(spark, out).collect()}
+    assert results["update"] == results["complete"] == {"a": 2, "b": 1, "c": 3, "d": 1}
+    # complete mode wrote every key in the second batch, update mode only the changed ones
+    assert spark.read.parquet(str(tmp_path / "out-complete")).where("batch_id = 1").count() == 4
+    assert spark.read.parquet(str(tmp_path / "out-update")).where("batch_id = 1").count() == 2
