@@ -24,20 +24,25 @@ def ip_parts_to_number(parts: Column) -> Column:
     """``ip_to_number`` on already split parts.  Give it a column computed
     in an earlier projection so the split runs once per row.
 
-    For the usual four parts the fold equals ``p0<<24 | p1<<16 | p2<<8 | p3``
-    (shifts distribute over OR), which stays inside whole-stage codegen; the
-    general fold (a higher-order function, evaluated outside codegen) is only
-    reached by other part counts.
+    The fold ``acc = part | (acc << 8)`` equals OR over the parts of
+    ``part << 8*(n-1-i)`` with bits past 64 falling off, so only the last
+    eight parts can leave any bit.  That is written as a fixed OR of shifted
+    terms (no lambda), which keeps the whole projection inside whole-stage
+    codegen; the common four-part case uses the four-term form.
     """
-    p = [F.get(parts, i).cast("bigint") for i in range(4)]
-    four = (F.shiftleft(p[0], 24).bitwiseOR(F.shiftleft(p[1], 16))
-            .bitwiseOR(F.shiftleft(p[2], 8)).bitwiseOR(p[3]))
-    fold = F.aggregate(
-        parts,
-        F.lit(0).cast("bigint"),
-        lambda acc, part: F.shiftleft(acc, 8).bitwiseOR(part.cast("bigint")),
-    )
-    return F.when(F.size(parts) == 4, four).otherwise(fold)
+    four = _or_terms([(F.get(parts, i).cast("bigint"), 8 * (3 - i)) for i in range(4)])
+    n = F.size(parts)
+    last8 = _or_terms([(F.coalesce(F.get(parts, n - 1 - j).cast("bigint"), F.lit(0).cast("bigint")), 8 * j)
+                       for j in range(8)])
+    return F.when(n == 4, four).otherwise(last8)
+
+
+def _or_terms(terms: list[tuple[Column, int]]) -> Column:
+    out = None
+    for value, shift in terms:
+        term = F.shiftleft(value, shift) if shift else value
+        out = term if out is None else out.bitwiseOR(term)
+    return out
 
 
 def number_to_ip(num: Column) -> Column:
