@@ -36,6 +36,10 @@ class RangeTable:
     rows: int
     broadcast: bool
 
+    def release(self) -> None:
+        """Drop the cached bucket table (``prepare_ranges(persist=True)``)."""
+        self.buckets.unpersist()
+
 
 def prepare_ranges(rules: DataFrame, start: str = "start_num", end: str = "end_num",
                    payload: tuple[str, ...] = ("province",), bucket_bits: int = DEFAULT_BUCKET_BITS,

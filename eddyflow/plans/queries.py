@@ -164,10 +164,14 @@ def q_order_running_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = stage_as_files(order_log_from_tables(spark, sf_dir), stage, REPLAY_BATCHES, fmt="text")
     stream = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES))
               .text(stage))
-    job = OrderMetricsBatch(rule_table(spark, sf_dir, persist=True), ledger, query="orders")
+    rules = rule_table(spark, sf_dir, persist=True)
+    job = OrderMetricsBatch(rules, ledger, query="orders")
     writer = (stream.writeStream.foreachBatch(_ReplayOnce(job, 1))
               .option("checkpointLocation", ckpt).trigger(availableNow=True))
-    run_to_end(writer.start(), STREAM_TIMEOUT_S)
+    try:
+        run_to_end(writer.start(), STREAM_TIMEOUT_S)
+    finally:
+        rules.release()
     return order_totals(spark, ledger, "orders")
 
 
