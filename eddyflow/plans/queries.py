@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ip import ip_to_number
 from ..functions.orderline import parse_order_lines
+from ..operators.common import bounded_broadcast
 from ..operators.income import (income_by_category, income_by_province, metric_deltas,
                                 metrics_one_pass, total_income)
 from ..operators.metrics import flat_view
@@ -29,11 +30,11 @@ from ..sources.records import records_from_events
 from ..sources.rules import parse_rule_lines, rule_lines_from_nations
 from ..sources.tables import read_table
 from ..streaming.offsets import start_offset_ledger
-from ..streaming.orders import OrderMetricsBatch, lines_with_province, order_totals, start_order_metrics
+from ..streaming.orders import OrderMetricsBatch, lines_with_province, order_totals
 from ..streaming.runner import run_to_end
 from ..streaming.staging import files_per_trigger, stage_as_files
-from ..streaming.wordcount import (read_per_batch_counts, running_counts,
-                                   start_per_batch_word_count, start_running_word_count)
+from ..streaming.wordcount import (per_key_counts, running_counts, start_per_batch_word_count,
+                                   start_running_word_count)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,8 @@ EVENTS_GROUP = "eddy-events"
 # Micro-batches used when a table is replayed as a stream.
 REPLAY_BATCHES = 4
 STREAM_TIMEOUT_S = 1800
+# Arrival batches numbered by one small window; broadcast only within this bound.
+MAX_BATCHES = 100_000
 
 
 # ---------------------------------------------------------------- inputs
@@ -89,21 +92,27 @@ def q_word_count_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_word_count_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns arrive as micro-batches: turn k of every
-    conversation is batch k.  Each batch is delivered into the source folder
-    and processed by one ``availableNow`` run of the same streaming query
-    (restarting from its checkpoint), so batch k holds exactly turn k."""
+    """Conversation turns are the arrival batches: turn k of every
+    conversation belongs to batch k, counted on its own.  The table is staged
+    partitioned by turn and replayed by one stream in several micro-batches;
+    each micro-batch counts per (turn, word) and the partials of a turn are
+    added up, so batch k's counts hold exactly turn k's words.  ``batch_id``
+    numbers the turns in arrival order."""
     base = shared_path(spark, "per_batch")
-    stage, source, out, ckpt = (f"{base}/{d}" for d in ("stage", "source", "out", "ckpt"))
-    conv = read_table(spark, sf_dir, "conversations", "turn", "text")
+    stage, out, ckpt = (f"{base}/{d}" for d in ("stage", "out", "ckpt"))
+    conv = read_table(spark, sf_dir, "conversations", "turn", "text").select(
+        F.col("turn").cast("bigint").alias("turn"), F.col("text").alias("value"))
     conv.write.partitionBy("turn").parquet(stage)
-    turns = sorted(r["turn"] for r in spark.read.parquet(stage).select("turn").distinct().collect())
-    for t in turns:
-        (spark.read.parquet(stage).where(F.col("turn") == t).select(F.col("text").alias("value"))
-         .write.mode("append").parquet(source))
-        stream = spark.readStream.schema("value string").parquet(source)
-        run_to_end(start_per_batch_word_count(stream, out, ckpt, "value", "available_now"), STREAM_TIMEOUT_S)
-    return read_per_batch_counts(spark, out)
+    files = len(spark.read.parquet(stage).inputFiles())
+    stream = (spark.readStream.schema("value string, turn bigint")
+              .option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES)).parquet(stage))
+    run_to_end(start_per_batch_word_count(stream, out, ckpt, "value", "available_now", keys=("turn",)),
+               STREAM_TIMEOUT_S)
+    counts = per_key_counts(spark, out, "turn bigint")
+    order = bounded_broadcast(counts.select("turn").distinct()
+                              .select("turn", (F.dense_rank().over(Window.orderBy("turn")) - 1)
+                                      .cast("bigint").alias("batch_id")), MAX_BATCHES)
+    return counts.join(order, "turn").select("batch_id", "word", "cnt")
 
 
 def q_word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:

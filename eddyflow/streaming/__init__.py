@@ -8,7 +8,7 @@ from .orders import (OrderMetricsBatch, compact_metric_ledger, flat_totals, line
                      order_totals, order_totals_compacted, start_order_metrics, stored_offsets)
 from .runner import BATCH_INTERVAL, run_to_end, session_conf, with_trigger
 from .staging import files_per_trigger, stage_as_files
-from .wordcount import (PerBatchWordCount, read_per_batch_counts, running_counts,
+from .wordcount import (PerBatchWordCount, per_key_counts, read_per_batch_counts, running_counts,
                         start_per_batch_word_count, start_running_word_count)
 
 __all__ = [
@@ -16,7 +16,7 @@ __all__ = [
     "order_metrics_job", "order_totals_compacted", "resume_options", "running_word_count_preview",
     "running_word_count_table", "sorted_batch_word_count",
     "BATCH_INTERVAL", "OffsetLedgerBatch", "OrderMetricsBatch", "PerBatchWordCount",
-    "files_per_trigger", "flat_totals", "lines_with_province", "order_totals",
+    "files_per_trigger", "flat_totals", "per_key_counts", "lines_with_province", "order_totals",
     "read_per_batch_counts", "run_to_end", "running_counts", "session_conf",
     "stage_as_files", "start_offset_ledger", "start_order_metrics",
     "start_per_batch_word_count", "start_running_word_count", "stored_offsets", "with_trigger",

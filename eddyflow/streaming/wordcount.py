@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.wordcount import word_count
+from ..operators.wordcount import word_count, words
 from ..sinks.tables import overwrite_partitions
 from ..sources.tables import spread_partitions
 from .runner import session_conf, stateful_settings, with_trigger
@@ -21,22 +21,32 @@ PER_BATCH_SCHEMA = "word string, cnt bigint, batch_id bigint"
 
 
 class PerBatchWordCount:
-    """``foreachBatch`` body: count the words of this batch alone."""
+    """``foreachBatch`` body: count the words of this batch alone.
 
-    def __init__(self, out_path: str, text_col: str = "value"):
+    With ``keys`` (columns of the input, e.g. the arrival batch a record
+    belongs to), the words are counted per key inside the micro-batch; rows
+    of one key that arrive over several micro-batches are added up by
+    ``per_key_counts``, so the result does not depend on how the source cut
+    the micro-batches.
+    """
+
+    def __init__(self, out_path: str, text_col: str = "value", keys: tuple[str, ...] = ()):
         self.out_path = out_path
         self.text_col = text_col
+        self.keys = tuple(keys)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        text = spread_partitions(batch.select(self.text_col))
-        counts = word_count(text, self.text_col).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows = spread_partitions(batch.select(*self.keys, self.text_col))
+        counts = (words(rows, self.text_col, keep=self.keys)
+                  .groupBy(*self.keys, "word").agg(F.count(F.lit(1)).alias("cnt"))
+                  .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
         overwrite_partitions(counts, self.out_path, ["batch_id"])
 
 
 def start_per_batch_word_count(stream: DataFrame, out_path: str, checkpoint: str,
                                text_col: str = "value", trigger: str | None = None,
-                               name: str | None = None) -> StreamingQuery:
-    writer = (stream.writeStream.foreachBatch(PerBatchWordCount(out_path, text_col))
+                               name: str | None = None, keys: tuple[str, ...] = ()) -> StreamingQuery:
+    writer = (stream.writeStream.foreachBatch(PerBatchWordCount(out_path, text_col, keys))
               .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
@@ -44,9 +54,18 @@ def start_per_batch_word_count(stream: DataFrame, out_path: str, checkpoint: str
 
 
 def read_per_batch_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """``batch_id, word, cnt`` of a job started without keys."""
     return spark.read.schema(PER_BATCH_SCHEMA).parquet(out_path).select("batch_id", "word", "cnt")
 
 
+def per_key_counts(spark: SparkSession, out_path: str, keys: str) -> DataFrame:
+    """``<keys>, word, cnt`` of a keyed job: micro-batch partials added up
+    (a combinable sum).  ``keys`` is a DDL list such as ``"turn bigint"``."""
+    names = [k.split()[0] for k in keys.split(",")]
+    ledger = spark.read.schema(f"{keys}, word string, cnt bigint, batch_id bigint").parquet(out_path)
+    return ledger.groupBy(*names, "word").agg(F.sum("cnt").alias("cnt"))
+
+
 def _write_changed(out_path: str):
     def sink(changed: DataFrame, batch_id: int) -> None:
         overwrite_partitions(changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")),

@@ -1,6 +1,5 @@
 """Physical-plan properties the design relies on."""
 
-import random
 
 import pytest
 from hypothesis import given, settings

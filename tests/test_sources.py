@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from eddyflow.sources import (kafka_options, messages_for_rows, numbered_messages, read_ip_rules,
                               read_kafka_stream, read_socket_stream, records_from_events)
@@ -44,7 +43,6 @@ def test_kafka_connector_absent_is_reported(spark):
 
 
 def test_socket_builder_does_not_connect(spark):
-    from pyspark.sql.streaming import DataStreamReader  # noqa: F401
     # Loading a socket source only declares it; nothing connects until start.
     df = read_socket_stream(spark, "localhost", 9)
     assert df.isStreaming and df.columns == ["value"]

@@ -170,3 +170,16 @@ def test_running_count_complete_mode_matches_update(spark, tmp_path):
     # complete mode wrote every key in the second batch, update mode only the changed ones
     assert spark.read.parquet(str(tmp_path / "out-complete")).where("batch_id = 1").count() == 4
     assert spark.read.parquet(str(tmp_path / "out-update")).where("batch_id = 1").count() == 2
+
+
+def test_keyed_per_batch_counts_span_micro_batches(spark, tmp_path):
+    from eddyflow.streaming import per_key_counts
+    src, out, ck = (str(tmp_path / d) for d in ("src", "out", "ck"))
+    rows = [(0, "a b"), (0, "a"), (1, "a"), (1, "c c"), (0, "b")]
+    df = spark.createDataFrame(rows, "turn bigint, value string")
+    df.repartition(5).write.partitionBy("turn").parquet(src)
+    stream = spark.readStream.schema("value string, turn bigint").option("maxFilesPerTrigger", 1).parquet(src)
+    run_to_end(start_per_batch_word_count(stream, out, ck, "value", "available_now", keys=("turn",)), 120)
+    assert spark.read.parquet(out).select("batch_id").distinct().count() > 2   # several micro-batches
+    got = {(r["turn"], r["word"]): r["cnt"] for r in per_key_counts(spark, out, "turn bigint").collect()}
+    assert got == {(0, "a"): 2, (0, "b"): 2, (1, "a"): 1, (1, "c"): 2}
