@@ -12,6 +12,7 @@ from ..session import ROCKSDB_PROVIDER
 
 BATCH_INTERVAL = "5 seconds"  # processing-time trigger of the original jobs
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+CHANGELOG_CONF = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 @contextlib.contextmanager
@@ -35,11 +36,14 @@ def session_conf(spark: SparkSession, settings: dict[str, str | None]) -> Iterat
 
 def stateful_settings(spark: SparkSession, state_partitions: int | None) -> dict[str, str | None]:
     """State in RocksDB (bounded memory for an unbounded key set) unless the
-    session names a provider; state partitions as asked."""
+    session names a provider, with changelog checkpointing (a batch commits
+    its changes, not a state snapshot); state partitions as asked."""
     settings: dict[str, str | None] = {}
-    if spark.conf.get(STATE_PROVIDER_CONF, None) in (None, "",
-            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"):
-        settings[STATE_PROVIDER_CONF] = ROCKSDB_PROVIDER
+    provider = spark.conf.get(STATE_PROVIDER_CONF, None)
+    if provider in (None, "", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"):
+        settings[STATE_PROVIDER_CONF] = provider = ROCKSDB_PROVIDER
+    if provider == ROCKSDB_PROVIDER and spark.conf.get(CHANGELOG_CONF, "false") != "true":
+        settings[CHANGELOG_CONF] = "true"
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     return settings
