@@ -12,15 +12,25 @@ from pyspark.sql import functions as F
 
 
 def kafka_options(bootstrap_servers: str, topics: Iterable[str], starting_offsets: str = "latest",
+                  min_partitions: int | None = None, max_offsets_per_trigger: int | None = None,
                   **extra: str) -> dict[str, str]:
     """Options for a subscription; ``starting_offsets`` is ``latest``,
     ``earliest`` or the JSON of ``starting_offsets_json``.  Offsets are not
-    committed to Kafka: progress lives in the checkpoint or the offset ledger."""
+    committed to Kafka: progress lives in the checkpoint or the offset ledger.
+
+    ``min_partitions`` lets the source cut large offset ranges into several
+    Spark tasks, so one Kafka partition holding a third of the records does
+    not become one task; ``max_offsets_per_trigger`` bounds a micro-batch.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting_offsets,
     }
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update(extra)
     return opts
 

@@ -31,9 +31,10 @@ def test_records_shape(spark):
 
 
 def test_kafka_options():
-    opts = kafka_options("h:9092", ["a", "b"], "earliest", **{"maxOffsetsPerTrigger": "100"})
+    opts = kafka_options("h:9092", ["a", "b"], "earliest", min_partitions=64, max_offsets_per_trigger=100,
+                         **{"failOnDataLoss": "true"})
     assert opts == {"kafka.bootstrap.servers": "h:9092", "subscribe": "a,b", "startingOffsets": "earliest",
-                    "maxOffsetsPerTrigger": "100"}
+                    "minPartitions": "64", "maxOffsetsPerTrigger": "100", "failOnDataLoss": "true"}
 
 
 def test_kafka_connector_absent_is_reported(spark):
