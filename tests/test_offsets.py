@@ -42,3 +42,20 @@ def test_starting_offsets_json(spark):
     spec = json.loads(starting_offsets_json(rows, {"t": 3}))
     assert spec == {"t": {"0": 9, "1": 3, "2": -2}}
     assert starting_offsets_json([], {"t": 3}) == "earliest"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["g", "h"]), st.sampled_from(["t", "u"]), st.integers(0, 3),
+                          st.integers(0, 10**6)), min_size=1, max_size=40))
+def test_latest_is_order_independent(spark, rows):
+    df = spark.createDataFrame(rows, "groupid string, topic string, partitioner int, offset bigint")
+    got = {(r["groupid"], r["topic"], r["partitioner"]): r["offset"]
+           for r in latest_offsets(df.repartition(4)).collect()}
+    want = {}
+    for g, t, p, o in rows:
+        want[(g, t, p)] = max(o, want.get((g, t, p), o))
+    assert got == want

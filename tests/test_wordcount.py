@@ -38,3 +38,27 @@ def test_global_position_over_many_partitions(spark):
     df = spark.range(0, 5000, numPartitions=13).select((F.col("id") * 7919 % 5000).alias("v"))
     rows = with_global_position(df, [F.col("v").asc()]).collect()
     assert sorted((r["position"], r["v"]) for r in rows) == [(i + 1, i) for i in range(5000)]
+
+
+def _java_words(text):
+    if text == "":
+        return [""]
+    parts = text.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+from collections import Counter  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n", max_size=15), min_size=1, max_size=30))
+def test_word_count_property(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = {r["word"]: r["cnt"] for r in word_count(df).collect()}
+    want = Counter(w for t in texts for w in _java_words(t))
+    assert got == dict(want)
