@@ -8,21 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import contaminated_pairs
+from .packing import pack_documents
 from .quality import judge_quality
 from .sharding import shard_documents
+from .tokens import tokenised
 from .urlfilter import judge_urls
+from .warc import archive_round_trip
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenised(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,8 +47,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
+    "op4_token_files": op4_token_files,
     "op6_url_filters": op6_url_filters,
+    "op7_packing": op7_packing,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }
