@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import contaminated_pairs
+from .langid import identify
 from .packing import pack_documents
 from .quality import judge_quality
 from .sharding import shard_documents
+from .simhash import near_duplicates
 from .tokens import tokenised
 from .urlfilter import judge_urls
 from .warc import archive_round_trip
@@ -26,6 +28,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenised(table(spark, sf_dir, "documents"))
 
@@ -38,6 +44,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,9 +59,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
+    "op3_simhash": op3_simhash,
     "op4_token_files": op4_token_files,
     "op6_url_filters": op6_url_filters,
     "op7_packing": op7_packing,
+    "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }

@@ -25,6 +25,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -156,7 +157,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES
     """(other columns' batch, texts as bytes) in runs of about ``size`` bytes."""
     for b in batches:
         col = b.column(text).cast(pa.large_binary())
-        ends = np.cumsum(np.array([0 if x is None else x for x in pa.compute.binary_length(col).to_pylist()], np.int64))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy())
         i = 0
         while i < b.num_rows:
             base = ends[i - 1] if i else 0
