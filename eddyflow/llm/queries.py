@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontam import contaminated_pairs
 from .langid import identify
+from .ngramlm import fit_and_score
 from .packing import pack_documents
 from .quality import judge_quality
 from .sharding import shard_documents
@@ -36,6 +37,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenised(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fit_and_score(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_simhash": op3_simhash,
     "op4_token_files": op4_token_files,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_url_filters": op6_url_filters,
     "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
