@@ -117,4 +117,4 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all columns."""
     bad = contaminated_pairs(docs, items, threshold).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")

@@ -128,4 +128,4 @@ def keep_known(docs: DataFrame, min_score: float = MIN_SCORE, **kwargs) -> DataF
     """The rows of ``docs`` whose language is known, with all their columns."""
     bad = identify(docs, **kwargs).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
     ids = bad.select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_bad_id"]), "left_anti")

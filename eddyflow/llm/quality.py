@@ -152,6 +152,6 @@ def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that every rule keeps, with all their columns."""
     bad = judge_quality(docs, **limits).where(~F.col("kept")).select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id"))
-                     & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_bad_text")),
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"])
+                     & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["_bad_text"]),
                      "left_anti")

@@ -220,7 +220,7 @@ def keep_first(docs: DataFrame, **kwargs) -> DataFrame:
     """One row of each group of near-duplicates: that with the smallest id."""
     judged = written(near_duplicates(docs, **kwargs), "near_duplicates")
     kept = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"))
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
     if kept.groupBy("_kept_id").count().where("count > 1").isEmpty():
         return out
     return out.dropDuplicates(["doc_id"])  # rows repeated with one id

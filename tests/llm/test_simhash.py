@@ -1,0 +1,124 @@
+import numpy as np
+import pytest
+import brute
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from eddyflow.llm.common import written
+from eddyflow.llm.components import components
+from eddyflow.llm.simhash import (fingerprint_links, forest, forest_dense, keep_first, near, near_duplicates, simhash)
+
+SCHEMA = "doc_id long, text string, fp long, component_id string, mask int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+
+
+@given(st.text(alphabet="aAbé \t\n\x0b\x1c .", max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_fingerprint_of_any_text(text):
+    assert simhash(text.encode()) == brute.fingerprint(text)
+
+
+def test_long_text_in_chunks(monkeypatch):
+    rng = np.random.default_rng(0)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 300, 70000))
+    whole = simhash(text.encode())
+    assert whole == brute.fingerprint(text)
+
+
+def clusters(seed, n, around):
+    rng = np.random.default_rng(seed)
+    out = list(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    for c in rng.integers(0, 1 << 63, around, dtype=np.uint64):
+        for _ in range(40):
+            f = int(c)
+            for b in rng.integers(0, 64, rng.integers(0, 5)):
+                f ^= 1 << int(b)
+            out.append(np.uint64(f))
+    return np.unique(np.array(out, np.uint64))
+
+
+def test_near_needs_bits_and_bytes():
+    a = np.array([0, 0b111, 0b1111, 0x0101010000000000, 0x0101010100000000], np.uint64)
+    assert near(a[:1], a)[0].tolist() == [True, True, False, True, False]
+
+
+@pytest.mark.parametrize("hot,dense", [(1024, 16384), (4, 16384), (4, 6)])
+def test_links_connect_what_brute_force_connects(spark, hot, dense):
+    fps = clusters(3, 300, 6)
+    # a crowd that shares five bytes and differs in three
+    rng = np.random.default_rng(4)
+    crowd = np.uint64(0x1122334455 << 24) | rng.integers(0, 1 << 24, 150, dtype=np.uint64)
+    tight = np.uint64(0x9922334455 << 24) | rng.integers(0, 1 << 9, 60, dtype=np.uint64)
+    fps = np.unique(np.concatenate([fps, crowd, tight]))
+    df = written(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long"), "t")
+    found = {r["node"]: r["component"] for r in components(fingerprint_links(df, 3, hot, dense)).collect()}
+    want = brute.group({int(np.uint64(x).view(np.int64)): int(x) for x in fps})
+    got = {n: found.get(n, n) for n in want}
+    assert len(set(got.values())) == len(set(want.values()))
+    assert got == want  # nodes compare as signed longs on both sides
+
+
+def test_dense_equals_breadth_first():
+    rng = np.random.default_rng(8)
+    fp = np.unique(np.uint64(7 << 40) | (rng.integers(0, 1 << 16, 120, dtype=np.uint64) << np.uint64(8)))
+
+    def sets(links):
+        root = {int(x): {int(x)} for x in fp}
+        for a, b in zip(*links):
+            if root[int(a)] is not root[int(b)]:
+                root[int(a)] |= root[int(b)]
+                for x in root[int(a)]:
+                    root[x] = root[int(a)]
+        return sorted(map(sorted, {id(s): s for s in root.values()}.values()))
+
+    assert sets(forest(fp)) == sets(forest_dense(fp, [0, 1, 2]))
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (205, 201), (201, 203)]
+    got = {r[0]: r[1] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {201: 201, 203: 201, 205: 201}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def texts():
+    rng = np.random.default_rng(2)
+    base = [" ".join(f"w{x}" for x in rng.integers(0, 400, 400)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    for i, t in enumerate(base[:6]):
+        w = t.split(" ")
+        for k in range(4):
+            v = list(w)
+            v[50 * k + 3] = "edited"
+            rows.append((100 + 10 * i + k, " ".join(v)))
+        rows.append((200 + i, t.upper()))
+    return rows + [(300, None), (301, ""), (302, " \n"), (303, "two words"), (304, "TWO\twords"), (305, base[0]),
+                   (305, base[0])]
+
+
+def test_near_duplicates_against_brute_force(spark):
+    rows = texts()
+    fps = {i: brute.fingerprint(t) for i, t in rows}
+    want = brute.group(fps)
+    got = near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got) == sorted(
+        (i, f"{fps[i]:016x}", want[i]) for i, _ in rows)
+    kept = keep_first(frame(spark, rows))
+    assert kept.columns == frame(spark, []).columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_repeated_first_row_stays_once(spark):
+    kept = keep_first(frame(spark, [(1, "a b c d"), (1, "a b c d"), (2, "a b c d")])).collect()
+    assert [r["doc_id"] for r in kept] == [1]
+
+
+def test_null_ids_and_empty_table(spark):
+    got = near_duplicates(frame(spark, [(None, "p q r s"), (5, "p q r s"), (None, "only null here and there")])).collect()
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == [
+        ("5", "5"), ("None", "5"), ("None", "None")]
+    assert near_duplicates(frame(spark, [])).count() == 0 and keep_first(frame(spark, [])).count() == 0
