@@ -15,7 +15,8 @@ def ip_to_number(ip: Column) -> Column:
     255 ORs into the neighbouring bits (``1.300.0.0`` gives 19660800), as in the
     original lookup.  Parts are split like Java's ``split("[.]")``: trailing
     empty parts are dropped, so ``1.2.3.4.`` is read as four parts and ``...``
-    as none (0).  A non-numeric part is a cast error under ANSI mode.
+    as none (0).  A non-numeric part is a cast error under ANSI mode.  A null
+    text gives null.
     """
     return ip_parts_to_number(java_split(ip, "."))
 
@@ -34,7 +35,12 @@ def ip_parts_to_number(parts: Column) -> Column:
     n = F.size(parts)
     last8 = _or_terms([(F.coalesce(F.get(parts, n - 1 - j).cast("bigint"), F.lit(0).cast("bigint")), 8 * j)
                        for j in range(8)])
-    return F.when(n == 4, four).otherwise(last8)
+    return F.when(n == 4, four).when(parts.isNotNull(), last8)
+
+
+def is_ip_text(ip: Column) -> Column:
+    """Whether ``ip_to_number`` can read the text: numbers between dots."""
+    return F.coalesce(ip.rlike(r"^(-?\d{1,18}(\.-?\d{1,18})*)?\.*$") & (ip != ""), F.lit(False))
 
 
 def _or_terms(terms: list[tuple[Column, int]]) -> Column:

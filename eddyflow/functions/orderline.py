@@ -2,10 +2,10 @@
 
 Positions follow the original jobs: 1 is the IP, 2 the category, 4 the price;
 0 (buyer) and 3 (item) are carried along but never used in a metric.  Extra
-fields are ignored.  A line with fewer than five fields, or a price that is not
-a number, fails the batch in strict mode (the original fails too); permissive
-mode marks such lines so they can be routed to a reject table instead of being
-dropped silently.
+fields are ignored.  A line with fewer than five fields, a price that is not a
+number or an address that is not one fails the batch in strict mode (the
+original fails too); permissive mode marks such lines so they can be routed to a
+reject table instead of being dropped silently.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ip import is_ip_text
 from .text import java_split
 
 ORDER_FIELDS = ("buyer", "ip", "category", "item", "price")
@@ -55,7 +56,7 @@ def parse_order_lines(df: DataFrame, value_col: str = "value", strict: bool = Tr
         price.alias("price"),
     ]
     if not strict:
-        cols.append(bad.alias("malformed"))
+        cols.append((bad | ~is_ip_text(F.get(parts, 1))).alias("malformed"))
     return split.select(*cols)
 
 

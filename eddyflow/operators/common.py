@@ -1,30 +1,25 @@
-"""Small planning helpers shared by the operators."""
+"""Exact money arithmetic."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count shows it has at most this many rows.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Prices keep eight decimal digits; sums have room for 30 digits before them.
+PRICE_TYPE = "decimal(28,8)"
+SUM_TYPE = "decimal(38,8)"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` only if it has at most ``max_rows`` rows.
+def money(col: str | Column) -> Column:
+    """A price as an exact decimal.  A price that has more decimal digits than
+    the type, or does not fit it, is an error: nothing is rounded."""
+    price = (F.col(col) if isinstance(col, str) else col).cast("double")
+    exact = price.cast(PRICE_TYPE)
+    lost = price.isNotNull() & (exact.cast("double") != price)
+    return F.when(lost, F.raise_error(F.concat(F.lit("price with more than eight decimals: "), price.cast("string")))
+                  .cast(PRICE_TYPE)).otherwise(exact)
 
-    The check stops at ``max_rows + 1`` rows, so it is cheap for small sides and
-    bounded for large ones.  Beyond the bound the plain frame is returned and
-    Spark plans a shuffled join (AQE may still convert it at runtime).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
-
-def money(col) -> F.Column:
-    """Exact money arithmetic: prices are summed as decimal(18,2)."""
-    return F.col(col).cast("decimal(18,2)") if isinstance(col, str) else col.cast("decimal(18,2)")
-
-
-def money_sum(col) -> F.Column:
+def money_sum(col: str | Column) -> Column:
     """Exact, order-independent sum of prices, returned as double."""
     return F.sum(money(col)).cast("double")

@@ -1,7 +1,7 @@
 """Income metrics of order lines: total, per category, per province.
 
-Prices are summed as decimal(18,2) and returned as double: exact and the same
-whatever the order of addition (the original adds doubles).
+Prices are summed as decimals with eight digits after the point and returned as
+double: the same whatever the order of addition (the original adds doubles).
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import money, money_sum
+from .common import SUM_TYPE, money, money_sum
 
 # Fixed key of the grand total in the metric store (value of the original).
 TOTAL_INCOME_KEY = "TOTAL_INCOME"
@@ -40,14 +40,14 @@ def income_by_province(lines_with_province: DataFrame) -> DataFrame:
 def metric_deltas(lines_with_province: DataFrame, price: str = "price") -> DataFrame:
     """All three metrics in one pass: ``metric, key, delta decimal``.
 
-    One GROUPING SETS aggregate ((), (category), (province)): the input is read
-    once and expanded three ways inside the map stage, then combined before the
-    shuffle.  ``grouping_id`` names the metric.  Over no input it gives no row,
-    so an empty batch adds nothing.
+    Prices are summed once per (category, province), combined on the map side;
+    GROUPING SETS ((), (category), (province)) then adds up those few sums, so
+    the rows that it expands do not grow with the input.  ``grouping_id`` names
+    the metric.  Over no input it gives no row, so an empty batch adds nothing.
     """
-    agg = (lines_with_province
-           .groupingSets([[], ["category"], ["province"]], "category", "province")
-           .agg(F.sum(money(price)).alias("delta"), F.grouping_id().alias("_gid")))
+    cells = lines_with_province.groupBy("category", "province").agg(F.sum(money(price)).alias("cell"))
+    agg = (cells.groupingSets([[], ["category"], ["province"]], "category", "province")
+           .agg(F.sum("cell").alias("delta"), F.grouping_id().alias("_gid")))
     metric = (F.when(F.col("_gid") == 3, F.lit(METRIC_TOTAL))
               .when(F.col("_gid") == 1, F.lit(METRIC_CATEGORY))
               .otherwise(F.lit(METRIC_PROVINCE)))
@@ -55,7 +55,7 @@ def metric_deltas(lines_with_province: DataFrame, price: str = "price") -> DataF
            .when(F.col("_gid") == 1, F.col("category"))
            .otherwise(F.col("province")))
     return agg.select(metric.alias("metric"), key.alias("key"),
-                      F.col("delta").cast("decimal(18,2)").alias("delta"))
+                      F.col("delta").cast(SUM_TYPE).alias("delta"))
 
 
 def metrics_one_pass(lines_with_province: DataFrame) -> DataFrame:

@@ -14,12 +14,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast
-
 LEDGER_COLUMNS = ("groupid", "topic", "partitioner", "offset")
-# A topic has at most this many partitions in practice; the latest-offset
-# table is broadcast only when a count confirms it.
-MAX_PARTITIONS_BROADCAST = 100_000
 
 
 def batch_offsets(records: DataFrame, group_id: str) -> DataFrame:
@@ -48,10 +43,10 @@ def latest_offsets(ledger: DataFrame, group_id: str | None = None,
 
 def unconsumed(records: DataFrame, latest: DataFrame) -> DataFrame:
     """Records at or after the stored end of their partition; partitions with
-    no ledger row start from the beginning."""
+    no ledger row start from the beginning.  Spark picks the join by the ledger's
+    measured size."""
     stored = latest.select(F.col("topic").alias("_t"), F.col("partitioner").alias("_p"),
                            F.col("offset").alias("_stored"))
-    stored = bounded_broadcast(stored, MAX_PARTITIONS_BROADCAST)
     cond = (F.col("topic") == F.col("_t")) & (F.col("partition") == F.col("_p"))
     return (records.join(stored, cond, "left")
             .where(F.col("offset") >= F.coalesce(F.col("_stored"), F.lit(0)))

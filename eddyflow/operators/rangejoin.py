@@ -5,9 +5,8 @@ get an equi key: the point's high bits ``point >> k`` and, for each rule, every
 value of ``start >> k .. end >> k``.  The BETWEEN test stays inside the join
 condition, so a left join keeps points that match no rule.  With rules that do
 not overlap a point matches at most one rule; this is checked when the rules
-are prepared.  The bucket table is broadcast only when its counted size is
-within a bound; beyond it the same equi key gives a shuffled join, which AQE
-can split when one bucket is hot.
+are prepared.  Spark chooses between a broadcast and a shuffled join by the
+bucket table's size in bytes, and AQE splits a hot bucket of the latter.
 """
 
 from __future__ import annotations
@@ -17,81 +16,82 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import DEFAULT_MAX_BROADCAST_ROWS
-
 DEFAULT_BUCKET_BITS = 16
+CHECK_BITS = 24
+# A point that no rule can hold stands for null.  It keeps the point's column
+# non-null: a null test on it would be pushed to the scan with the whole
+# expression that makes the point.
+NO_POINT = -(2**63)
 
 
 class RangeRuleError(ValueError):
-    """Rules that are inverted or overlap."""
+    """Rules that are inverted, overlap or have no bounds."""
 
 
 @dataclass(frozen=True)
 class RangeTable:
-    """Rules exploded to buckets, checked and sized once, reused per batch."""
+    """Rules exploded to buckets, checked once, reused per batch."""
 
     buckets: DataFrame          # _bucket, _start, _end, payload...
     payload: tuple[str, ...]
     bucket_bits: int
-    rows: int
-    broadcast: bool
 
     def release(self) -> None:
         """Drop the cached bucket table (``prepare_ranges(persist=True)``)."""
         self.buckets.unpersist()
 
 
+def _check(rules: DataFrame, start: str, end: str, bits: int) -> None:
+    """One small job over coarse buckets.  Two rules overlap only if they share
+    a bucket, so each rule is compared with the largest end of the earlier rules
+    of its buckets; an inverted rule is looked at in its start's bucket."""
+    lo, hi = F.shiftright(F.col(start), bits), F.shiftright(F.col(end), bits)
+    coarse = rules.select(
+        F.explode_outer(F.sequence(lo, F.greatest(lo, hi))).alias("_bucket"),
+        F.col(start).alias("_start"), F.col(end).alias("_end"))
+    earlier = (Window.partitionBy("_bucket").orderBy("_start", "_end")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    count = lambda bad: F.count(F.when(bad, 1))
+    found = coarse.withColumn("_prev_end", F.max("_end").over(earlier)).agg(
+        count(F.col("_start").isNull() | F.col("_end").isNull() | (F.col("_start") <= NO_POINT)).alias("unbounded"),
+        count(F.col("_start") > F.col("_end")).alias("inverted"),
+        count(F.col("_prev_end") >= F.col("_start")).alias("overlaps")).first()
+    if found["unbounded"]:
+        raise RangeRuleError(f"{found['unbounded']} rules have no bounds")
+    if found["inverted"]:
+        raise RangeRuleError(f"{found['inverted']} rules have start > end")
+    if found["overlaps"]:
+        raise RangeRuleError(f"{found['overlaps']} rules overlap an earlier rule")
+
+
 def prepare_ranges(rules: DataFrame, start: str = "start_num", end: str = "end_num",
                    payload: tuple[str, ...] = ("province",), bucket_bits: int = DEFAULT_BUCKET_BITS,
-                   validate: bool = True,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   persist: bool = False) -> RangeTable:
-    """Explode ``rules`` to buckets; one small job counts the bucket rows and,
-    with ``validate``, counts inverted and overlapping rules (fails on any).
-
-    Two rules overlap only if they share a bucket, so the check compares each
-    rule with the largest end of the earlier rules of its bucket.
-
-    ``persist`` keeps the (size-checked) bucket table cached, for streams
-    that broadcast it every micro-batch: it is filled by the check job and
-    recomputed from the rule source if an executor holding it is lost.
+                   validate: bool = True, persist: bool = False) -> RangeTable:
+    """Explode ``rules`` to buckets; ``validate`` fails on inverted,
+    overlapping or unbounded rules.
+
+    ``persist`` keeps the bucket table cached, for streams that use it every
+    micro-batch; it is recomputed from the rule source if an executor holding
+    it is lost.
     """
+    if validate:
+        _check(rules, start, end, max(bucket_bits, CHECK_BITS))
     k = bucket_bits
     buckets = rules.select(
         F.explode(F.sequence(F.shiftright(F.col(start), k), F.shiftright(F.col(end), k))).alias("_bucket"),
         F.col(start).alias("_start"), F.col(end).alias("_end"), *payload)
-    if persist:
-        buckets = buckets.persist()
-    if validate:
-        earlier = (Window.partitionBy("_bucket").orderBy("_start", "_end")
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        checked = buckets.withColumn("_prev_end", F.max("_end").over(earlier))
-        stats = checked.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.when(F.col("_start") > F.col("_end"), 1).otherwise(0)).alias("inverted"),
-            F.sum(F.when(F.col("_prev_end") >= F.col("_start"), 1).otherwise(0)).alias("overlaps"),
-        ).first()
-        if stats["inverted"]:
-            raise RangeRuleError(f"{stats['inverted']} rule bucket rows have start > end")
-        if stats["overlaps"]:
-            raise RangeRuleError(f"{stats['overlaps']} rule bucket rows overlap an earlier rule")
-        rows = int(stats["rows"])
-    else:
-        rows = int(rules.agg(F.sum(
-            F.shiftright(F.col(end), k) - F.shiftright(F.col(start), k) + 1)).first()[0] or 0)
-    return RangeTable(buckets, tuple(payload), k, rows, rows <= max_broadcast_rows)
+    return RangeTable(buckets.persist() if persist else buckets, tuple(payload), k)
 
 
 def range_lookup(df: DataFrame, point: Column, table: RangeTable, how: str = "left") -> DataFrame:
     """``df`` plus the payload columns of the rule holding ``point``.
 
     ``how="left"`` keeps unmatched rows with null payload; ``"inner"`` keeps
-    only matched rows.
+    only matched rows.  A null point matches nothing.
     """
-    probe = df.withColumn("_point", point).withColumn("_pbucket", F.shiftright(F.col("_point"), table.bucket_bits))
+    probe = (df.withColumn("_point", F.coalesce(point, F.lit(NO_POINT).cast("bigint")))
+             .withColumn("_pbucket", F.shiftright(F.col("_point"), table.bucket_bits)))
     rules = table.buckets
-    if table.broadcast:
-        rules = F.broadcast(rules)
     cond = ((probe["_pbucket"] == rules["_bucket"])
             & (probe["_point"] >= rules["_start"]) & (probe["_point"] <= rules["_end"]))
     return (probe.join(rules, cond, how)

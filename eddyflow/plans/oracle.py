@@ -56,7 +56,7 @@ _ZONED = f"""
     FROM parsed p LEFT JOIN rules r ON p.ip_num BETWEEN r.start_num AND r.end_num)
 """
 
-_MONEY = "CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE)"
+_MONEY = "CAST(SUM(CAST(price AS DECIMAL(28,8))) AS DOUBLE)"
 
 _METRICS = f"""
   {_ZONED}
@@ -92,7 +92,14 @@ def oracle_queries() -> dict[str, str]:
         "order_income_by_zone": f"{_ZONED} SELECT province, {_MONEY} AS income FROM zoned GROUP BY province",
         "order_metrics_one_pass": _METRICS,
         "order_running_metrics": _METRICS,
-        "metric_store_scan": f"SELECT key, CAST(SUM(CAST(income AS DECIMAL(18,2))) AS DOUBLE) AS value FROM ({_METRICS}) m GROUP BY key",
+        "order_resume_totals": f"""
+            SELECT metric, key, income AS value FROM ({_METRICS}) m
+            UNION ALL
+            SELECT 'offset', 'orders/' || CAST(l_orderkey % 4 AS VARCHAR),
+                   CAST(MAX(l_orderkey * 16 + l_linenumber) + 1 AS DOUBLE)
+            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+            GROUP BY l_orderkey % 4""",
+        "metric_store_scan": f"SELECT key, CAST(SUM(CAST(income AS DECIMAL(28,8))) AS DOUBLE) AS value FROM ({_METRICS}) m GROUP BY key",
         "ip_to_number": f"""
             SELECT c_custkey, {_ip_text('c_custkey')} AS ip, {_ip_num('c_custkey')} AS ip_num FROM customer""",
         "ip_zone_lookup": f"""
@@ -113,7 +120,7 @@ def oracle_queries() -> dict[str, str]:
             cut AS (SELECT lo + to_microseconds((epoch_us(hi) - epoch_us(lo)) // 2) AS c FROM span),
             ledger AS (
               SELECT topic, "partition" AS partitioner, MAX("offset") + 1 AS stored
-              FROM records WHERE "timestamp" < (SELECT c FROM cut) GROUP BY topic, "partition")
+              FROM records WHERE "timestamp" < (SELECT c FROM cut) AND "partition" <> 0 GROUP BY topic, "partition")
             SELECT r.topic, r."partition", r."offset", r.key, r.value
             FROM records r LEFT JOIN ledger l ON r.topic = l.topic AND r."partition" = l.partitioner
             WHERE r."offset" >= coalesce(l.stored, 0)""",

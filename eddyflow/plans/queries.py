@@ -1,38 +1,40 @@
 """The registered queries: each reads the driver's tables under ``sf_dir`` and
-returns a DataFrame (nothing is collected).  Streaming queries stage their
-input and ledgers under the shared checkpoint folder and run to the end with
-an ``availableNow`` trigger before the result table is returned.
+returns a DataFrame (nothing is collected).  Streaming queries read the tables
+where they lie (only the order text, which a join makes, is written first), keep
+their ledgers under the shared checkpoint folder, and run to the end of their
+input before the result table is returned.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ip import ip_to_number
 from ..functions.orderline import parse_order_lines
-from ..operators.common import bounded_broadcast
 from ..operators.income import (income_by_category, income_by_province, metric_deltas,
                                 metrics_one_pass, total_income)
 from ..operators.metrics import flat_view
 from ..operators.offsets import batch_offsets, latest_offsets, unconsumed
 from ..operators.rangejoin import RangeTable, prepare_ranges, range_lookup
+from ..operators.ranking import with_global_position
 from ..operators.wordcount import sorted_word_count, top_words, word_count
 from ..session import default_parallelism, shared_path
 from ..sinks.console import record_lines
-from ..sinks.tables import append_table, overwrite_partitions
-from ..sources.ledger import read_metric_store, read_offset_ledger
+from ..sinks.tables import append_table
 from ..sources.messages import messages_for_rows
 from ..sources.orderlog import buyer_ip, order_log_from_tables
-from ..sources.records import records_from_events
+from ..sources.records import records_from_events, records_from_order_log
 from ..sources.rules import parse_rule_lines, rule_lines_from_nations
 from ..sources.tables import read_table
+from ..streaming.ledger import metric_ledger, offset_ledger
 from ..streaming.offsets import start_offset_ledger
-from ..streaming.orders import OrderMetricsBatch, lines_with_province, order_totals
+from ..streaming.orders import (OrderMetricsBatch, lines_with_province, order_totals, start_order_metrics,
+                                stored_offsets)
 from ..streaming.runner import run_to_end
-from ..streaming.staging import files_per_trigger, stage_as_files
+from ..streaming.staging import BATCH_BYTES, stream_lines, stream_table
 from ..streaming.wordcount import (per_key_counts, running_counts, start_per_batch_word_count,
                                    start_running_word_count)
 
@@ -40,11 +42,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 # Consumer group under which the event record log is tracked.
 EVENTS_GROUP = "eddy-events"
-# Micro-batches used when a table is replayed as a stream.
-REPLAY_BATCHES = 4
-STREAM_TIMEOUT_S = 1800
-# Arrival batches numbered by one small window; broadcast only within this bound.
-MAX_BATCHES = 100_000
+# Job names in the ledgers.
+ORDERS = "orders"
 
 
 # ---------------------------------------------------------------- inputs
@@ -72,61 +71,49 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------- word counts
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(read_table(spark, sf_dir, "documents", "text", spread=True))
+    return word_count(read_table(spark, sf_dir, "documents", "text", spread_by="doc_id"))
 
 
 def q_word_count_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_words(word_count(read_table(spark, sf_dir, "documents", "text", spread=True)), 10)
+    return top_words(word_count(read_table(spark, sf_dir, "documents", "text", spread_by="doc_id")), 10)
 
 
 def q_word_count_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sorted_word_count(word_count(read_table(spark, sf_dir, "documents", "text", spread=True)))
+    return sorted_word_count(word_count(read_table(spark, sf_dir, "documents", "text", spread_by="doc_id")))
 
 
 def q_word_count_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts appended to the ``access_log`` table (Parquet in the shared
     folder; ``sinks.jdbc`` writes the same rows to a SQL table) and read back."""
     path = shared_path(spark, "access_log")
-    append_table(word_count(read_table(spark, sf_dir, "benchmark", "text", spread=True)).select("word", "cnt"), path)
+    append_table(word_count(read_table(spark, sf_dir, "benchmark", "text")).select("word", "cnt"), path)
     return spark.read.schema("word string, cnt bigint").parquet(path)
 
 
 def q_word_count_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns are the arrival batches: turn k of every
-    conversation belongs to batch k, counted on its own.  The table is staged
-    partitioned by turn and replayed by one stream in several micro-batches;
-    each micro-batch counts per (turn, word) and the partials of a turn are
-    added up, so batch k's counts hold exactly turn k's words.  ``batch_id``
-    numbers the turns in arrival order."""
+    conversation belongs to batch k, counted on its own.  One stream reads the
+    table; each micro-batch counts per (turn, word) and the partials of a turn
+    are added up, so batch k's counts hold exactly turn k's words.
+    ``batch_id`` numbers the turns in arrival order."""
     base = shared_path(spark, "per_batch")
-    stage, out, ckpt = (f"{base}/{d}" for d in ("stage", "out", "ckpt"))
-    conv = read_table(spark, sf_dir, "conversations", "turn", "text").select(
+    stream = stream_table(spark, sf_dir, "conversations").select(
         F.col("turn").cast("bigint").alias("turn"), F.col("text").alias("value"))
-    conv.write.partitionBy("turn").parquet(stage)
-    files = len(spark.read.parquet(stage).inputFiles())
-    stream = (spark.readStream.schema("value string, turn bigint")
-              .option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES)).parquet(stage))
-    run_to_end(start_per_batch_word_count(stream, out, ckpt, "value", "available_now", keys=("turn",)),
-               STREAM_TIMEOUT_S)
-    counts = per_key_counts(spark, out, "turn bigint")
-    order = bounded_broadcast(counts.select("turn").distinct()
-                              .select("turn", (F.dense_rank().over(Window.orderBy("turn")) - 1)
-                                      .cast("bigint").alias("batch_id")), MAX_BATCHES)
-    return counts.join(order, "turn").select("batch_id", "word", "cnt")
+    run_to_end(start_per_batch_word_count(stream, f"{base}/out", f"{base}/ckpt", "value", "available_now",
+                                          keys=("turn",)))
+    counts = per_key_counts(spark, f"{base}/out", "turn bigint")
+    order = with_global_position(counts.select("turn").distinct(), [F.col("turn")])
+    return counts.join(order, "turn").select((F.col("position") - 1).cast("bigint").alias("batch_id"), "word", "cnt")
 
 
 def q_word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations replayed in several micro-batches through a stateful
-    running count; the totals after the last batch."""
+    """Conversations read as a stream into a stateful running count; the totals
+    after the last batch."""
     base = shared_path(spark, "running")
-    stage, out, ckpt = (f"{base}/{d}" for d in ("stage", "out", "ckpt"))
-    files = stage_as_files(read_table(spark, sf_dir, "conversations", "text", spread=True)
-                           .select(F.col("text").alias("value")), stage, REPLAY_BATCHES)
-    stream = (spark.readStream.schema("value string")
-              .option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES)).parquet(stage))
-    run_to_end(start_running_word_count(stream, out, ckpt, "value", "available_now",
-                                        state_partitions=default_parallelism(spark)), STREAM_TIMEOUT_S)
-    return running_counts(spark, out)
+    stream = stream_table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
+    run_to_end(start_running_word_count(stream, f"{base}/out", f"{base}/ckpt", "value", "available_now",
+                                        state_partitions=default_parallelism(spark)))
+    return running_counts(spark, f"{base}/out")
 
 
 # ------------------------------------------------------------ order lines
@@ -151,46 +138,59 @@ def q_order_metrics_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics_one_pass(lines_with_province(order_lines(spark, sf_dir), rule_table(spark, sf_dir)))
 
 
-class _ReplayOnce:
-    """Runs one batch id twice, as Spark does when a batch fails after its
-    sink wrote and is re-executed; the ledger must not count it twice."""
-
-    def __init__(self, job, batch_id: int):
-        self.job = job
-        self.batch_id = batch_id
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.job(batch, batch_id)
-        if batch_id == self.batch_id:
-            self.job(batch, batch_id)
-
-
 def q_order_running_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order log replayed as a text stream in several micro-batches into
-    the delta ledger (batch 1 is executed twice); totals over the ledger."""
+    """The order log as a text stream into the delta ledger, folded once at the
+    end; totals over the ledger."""
     base = shared_path(spark, "orders")
-    stage, ledger, ckpt = (f"{base}/{d}" for d in ("stage", "ledger", "ckpt"))
-    files = stage_as_files(order_log_from_tables(spark, sf_dir), stage, REPLAY_BATCHES, fmt="text")
-    stream = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES))
-              .text(stage))
+    stream = stream_lines(spark, order_log_from_tables(spark, sf_dir), f"{base}/log")
+    rules = rule_table(spark, sf_dir, persist=True)
+    job = OrderMetricsBatch(rules, f"{base}/ledger", query=ORDERS)
+    try:
+        query = run_to_end(start_order_metrics(stream, job, f"{base}/ckpt", "available_now"))
+    finally:
+        rules.release()
+    if query.lastProgress:
+        metric_ledger(f"{base}/ledger").fold(spark, ORDERS, str(query.id), query.lastProgress["batchId"])
+    return order_totals(spark, f"{base}/ledger", ORDERS)
+
+
+def q_order_resume_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record job that stops and is resumed from its stored offsets with a new
+    checkpoint.  The first run sees the first half of every partition but the
+    last one, which it does not see at all; the second run reads, from the whole
+    log, what the ledger has not.  Totals of the metrics, and per partition the
+    offset to go on from."""
+    base = shared_path(spark, "resume")
+    log, metrics, offsets = f"{base}/log", f"{base}/metrics", f"{base}/offsets"
+    records_from_order_log(order_log_from_tables(spark, sf_dir, keep=("l_orderkey", "l_linenumber"))).write.parquet(log)
+    written = spark.read.parquet(log)
     rules = rule_table(spark, sf_dir, persist=True)
-    job = OrderMetricsBatch(rules, ledger, query="orders")
-    writer = (stream.writeStream.foreachBatch(_ReplayOnce(job, 1))
-              .option("checkpointLocation", ckpt).trigger(availableNow=True))
+    job = OrderMetricsBatch(rules, metrics, ORDERS, offset_ledger=offsets, group_id=ORDERS)
+
+    def run(name: str, wanted: Callable[[DataFrame], DataFrame]) -> None:
+        stream = (spark.readStream.schema(written.schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(log))
+        run_to_end(start_order_metrics(wanted(stream), job, f"{base}/{name}", "available_now"))
+
     try:
-        run_to_end(writer.start(), STREAM_TIMEOUT_S)
+        bounds = written.agg((F.max("offset") / 2).cast("bigint").alias("cut"), F.max("partition").alias("last"))
+        run("first", lambda s: s.join(F.broadcast(bounds), (F.col("offset") < F.col("cut"))
+                                      & (F.col("partition") < F.col("last"))).drop("cut", "last"))
+        run("second", lambda s: unconsumed(s, stored_offsets(spark, offsets, ORDERS)))
     finally:
         rules.release()
-    return order_totals(spark, ledger, "orders")
+    totals = order_totals(spark, metrics, ORDERS, offsets, ORDERS).select("metric", "key", F.col("income").alias("value"))
+    ends = stored_offsets(spark, offsets, ORDERS).select(
+        F.lit("offset").alias("metric"), F.concat_ws("/", "topic", F.col("partitioner").cast("string")).alias("key"),
+        F.col("offset").cast("double").alias("value"))
+    return totals.unionByName(ends)
 
 
 def q_metric_store_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics stored as deltas, read back as the flat key space."""
-    path = shared_path(spark, "metric_store")
-    deltas = (metric_deltas(lines_with_province(order_lines(spark, sf_dir), rule_table(spark, sf_dir)))
-              .withColumn("query", F.lit("orders")).withColumn("batch_id", F.lit(0).cast("bigint")))
-    overwrite_partitions(deltas, path, ["query", "batch_id"])
-    return flat_view(read_metric_store(spark, path))
+    ledger = metric_ledger(shared_path(spark, "metric_store"))
+    ledger.write(metric_deltas(lines_with_province(order_lines(spark, sf_dir), rule_table(spark, sf_dir))),
+                 ORDERS, "direct", 0)
+    return flat_view(ledger.read(spark))
 
 
 # ------------------------------------------------------------- IP lookups
@@ -220,16 +220,12 @@ def q_ip_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- offsets
 
 def q_offset_ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event record log consumed by a stream in several micro-batches;
-    each batch appends its ledger rows; latest end per partition."""
+    """The event record log consumed by a stream; each batch appends its ledger
+    rows; latest end per partition."""
     base = shared_path(spark, "offsets")
-    stage, ledger, ckpt = (f"{base}/{d}" for d in ("stage", "ledger", "ckpt"))
-    files = stage_as_files(event_records(spark, sf_dir), stage, REPLAY_BATCHES)
-    stream = (spark.readStream.schema(event_records(spark, sf_dir).schema)
-              .option("maxFilesPerTrigger", files_per_trigger(files, REPLAY_BATCHES)).parquet(stage))
-    run_to_end(start_offset_ledger(stream, ledger, EVENTS_GROUP, ckpt, "available_now"), STREAM_TIMEOUT_S)
-    return latest_offsets(read_offset_ledger(spark, ledger), EVENTS_GROUP).select(
-        "groupid", "topic", "partitioner", "offset")
+    stream = records_from_events(stream_table(spark, sf_dir, "events"))
+    run_to_end(start_offset_ledger(stream, f"{base}/ledger", EVENTS_GROUP, f"{base}/ckpt", "available_now"))
+    return stored_offsets(spark, f"{base}/ledger", EVENTS_GROUP).select("groupid", "topic", "partitioner", "offset")
 
 
 def _first_half_cut(records: DataFrame):
@@ -242,13 +238,13 @@ def _first_half_cut(records: DataFrame):
 
 def q_offset_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A consumer stored its offsets after reading the first half of the time
-    range; resuming yields every record at or after the stored ends."""
-    path = shared_path(spark, "resume_ledger")
+    range, all partitions but number 0; resuming yields every record at or after
+    the stored ends, and partition 0 from its start."""
+    ledger = offset_ledger(shared_path(spark, "resume_ledger"))
     records = event_records(spark, sf_dir)
-    consumed = records.where(F.col("timestamp") < _first_half_cut(records))
-    append_table(batch_offsets(consumed, EVENTS_GROUP).withColumn("batch_id", F.lit(0).cast("bigint")),
-                 path, ["groupid", "batch_id"])
-    latest = latest_offsets(read_offset_ledger(spark, path), EVENTS_GROUP)
+    consumed = records.where((F.col("timestamp") < _first_half_cut(records)) & (F.col("partition") != 0))
+    ledger.write(batch_offsets(consumed, EVENTS_GROUP), EVENTS_GROUP, "direct", 0)
+    latest = latest_offsets(ledger.read(spark, EVENTS_GROUP), EVENTS_GROUP)
     return unconsumed(records, latest).select("topic", "partition", "offset", "key", "value")
 
 
@@ -277,6 +273,7 @@ QUERIES: dict[str, QueryFn] = {
     "order_income_by_zone": q_order_income_by_zone,
     "order_metrics_one_pass": q_order_metrics_one_pass,
     "order_running_metrics": q_order_running_metrics,
+    "order_resume_totals": q_order_resume_totals,
     "metric_store_scan": q_metric_store_scan,
     "ip_to_number": q_ip_to_number,
     "ip_zone_lookup": q_ip_zone_lookup,

@@ -1,18 +1,20 @@
 """Session settings and the shared working folder.
 
-Everything the library writes (staged stream input, ledgers, checkpoints) goes
-under the folder the cluster names in ``spark.checkpoint.dir``.  That folder is
-read from the session; a private one is only created when the setting is unset,
-as happens in unit tests.
+Everything the library writes for itself (staged stream input, intermediate
+tables, checkpoints) goes under the folder the cluster names in
+``spark.checkpoint.dir``, read from the session.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from .storage import drop_at_exit
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -28,6 +30,9 @@ RECOMMENDED_CONF = {
 }
 
 
+_dropped_at_exit: set[str] = set()
+
+
 def build_session(master: str | None = None, app_name: str = "eddyflow",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -48,29 +53,31 @@ def build_session(master: str | None = None, app_name: str = "eddyflow",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; a private temporary one
-    is made and registered only when the session has none (tests)."""
+    """The shared folder from ``spark.checkpoint.dir``.
+
+    It must be set on a cluster, where a folder of this machine would be
+    invisible to the executors; a local session without it gets a temporary
+    folder of its own, registered as its checkpoint folder.
+    """
     sc = spark.sparkContext
-    root = sc.getConf().get(CHECKPOINT_CONF, None)
-    if not root:
-        try:
-            root = spark.conf.get(CHECKPOINT_CONF, None)
-        except Exception:  # noqa: BLE001 - unset core conf
-            root = None
+    root = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
-        current = sc.getCheckpointDir()
-        if current:
-            root = current.rsplit("/", 1)[0]
-        else:
-            root = tempfile.mkdtemp(prefix="eddyflow-ckpt-")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="eddyflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for one run of ``name``."""
-    return f"{checkpoint_root(spark)}/eddyflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint root for one run of ``name``.
+    The application's folders are removed when its driver ends."""
+    own = f"{checkpoint_root(spark)}/eddyflow/{spark.sparkContext.applicationId}"
+    if own not in _dropped_at_exit:
+        _dropped_at_exit.add(own)
+        drop_at_exit(spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def default_parallelism(spark: SparkSession) -> int:

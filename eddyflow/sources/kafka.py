@@ -51,7 +51,7 @@ def read_kafka_batch(spark: SparkSession, options: dict[str, str], ending_offset
     opts = dict(options)
     opts.setdefault("endingOffsets", ending_offsets)
     if opts.get("startingOffsets") == "latest":
-        opts["startingOffsets"] = "earliest"
+        raise ValueError("a bounded read starts at 'earliest' or at given offsets, not at 'latest'")
     return as_records(spark.read.format("kafka").options(**opts).load())
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-OFFSET_LEDGER_SCHEMA = "groupid string, topic string, partitioner int, offset bigint, batch_id bigint"
-METRIC_LEDGER_SCHEMA = "metric string, key string, delta decimal(18,2), query string, batch_id bigint"
+OFFSET_LEDGER_SCHEMA = "groupid string, topic string, partitioner int, offset bigint, run string, batch_id bigint"
+METRIC_LEDGER_SCHEMA = "metric string, key string, delta decimal(38,8), query string, run string, batch_id bigint"
 
 
 def read_offset_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Offset ledger written by the streaming jobs (partitioned by batch)."""
+    """Rows of the offset ledger that are not folded yet (``streaming.ledger``
+    reads all)."""
     return spark.read.schema(OFFSET_LEDGER_SCHEMA).parquet(path)
 
 
@@ -21,5 +22,6 @@ def read_offset_ledger_jdbc(spark: SparkSession, url: str, table: str = "Offset"
 
 
 def read_metric_store(spark: SparkSession, path: str) -> DataFrame:
-    """Every ``metric, key, delta`` row of the metric ledger."""
+    """``metric, key, delta`` rows of the metric ledger that are not folded yet
+    (``streaming.ledger`` reads all)."""
     return spark.read.schema(METRIC_LEDGER_SCHEMA).parquet(path)

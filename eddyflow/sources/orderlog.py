@@ -22,21 +22,23 @@ def buyer_ip(custkey: Column) -> Column:
                        (F.shiftright(c, 8) % 256).cast("string"), ((c * 13) % 256).cast("string"))
 
 
-def order_log_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_log_from_tables(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One order line per lineitem: buyer = customer key, ip from the key,
     category = part type, item = part name with ``_`` for spaces (a space would
-    shift the price), price = extended price.
+    shift the price), price = extended price.  ``keep`` names lineitem columns to
+    carry along.
 
     Two equi-joins on the tables' keys; Spark sizes them at runtime (AQE turns
     the part join into a broadcast only when the measured side is small, and
     splits skewed keys in a shuffled join).
     """
-    lineitem = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_extendedprice", spread=True)
+    lineitem = read_table(spark, sf_dir, "lineitem", *dict.fromkeys(("l_orderkey", "l_partkey", "l_extendedprice", *keep)),
+                          spread_by="l_orderkey")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_name")
     joined = (lineitem
               .join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
               .join(part, lineitem["l_partkey"] == part["p_partkey"]))
-    return joined.select(format_order_line(
+    return joined.select(*keep, format_order_line(
         F.col("o_custkey"), buyer_ip(F.col("o_custkey")), F.col("p_type"),
         F.regexp_replace(F.col("p_name"), " ", "_"), F.col("l_extendedprice")).alias("value"))

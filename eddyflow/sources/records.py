@@ -25,3 +25,14 @@ def records_from_events(events: DataFrame, partitions: int = EVENT_PARTITIONS) -
         F.col("props").alias("value"),
         F.col("ts").alias("timestamp"),
     )
+
+
+def records_from_order_log(log: DataFrame, partitions: int = EVENT_PARTITIONS) -> DataFrame:
+    """Order lines (``value``, with their line item's key) as a record log of one
+    topic: partition = order key mod ``partitions``, offset from the order key and
+    line number, increasing within a partition."""
+    return log.select(
+        F.lit("orders").alias("topic"),
+        (F.col("l_orderkey") % partitions).cast("int").alias("partition"),
+        (F.col("l_orderkey") * 16 + F.col("l_linenumber")).cast("bigint").alias("offset"),
+        F.col("l_orderkey").cast("string").alias("key"), "value", F.lit(None).cast("timestamp").alias("timestamp"))

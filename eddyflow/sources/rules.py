@@ -21,23 +21,36 @@ def parse_rule_lines(lines: DataFrame, value_col: str = "value", strict: bool =
 
     Fields are split like Java's ``split("[|]")`` (trailing empty fields
     dropped).  Strict (default): a line with fewer than seven fields or a
-    non-numeric bound fails the job, as the original loader does.
+    non-numeric bound fails the job, as the original loader does.  Otherwise the
+    line itself and ``malformed`` are added, for ``split_rule_rejects``.
     """
     value = F.col(value_col)
     parts = java_split(value, RULE_SEPARATOR)
     start = F.get(parts, RULE_START_FIELD).try_cast("bigint")
     end = F.get(parts, RULE_END_FIELD).try_cast("bigint")
+    bad = (F.coalesce(F.size(parts), F.lit(0)) < RULE_PROVINCE_FIELD + 1) | start.isNull() | end.isNull()
+    province = F.get(parts, RULE_PROVINCE_FIELD).alias("province")
     if strict:
-        bad = (F.size(parts) < RULE_PROVINCE_FIELD + 1) | start.isNull() | end.isNull()
-        guard = F.when(bad, F.raise_error(F.concat(F.lit("malformed ip rule: "), value)))
-        start = F.coalesce(guard.cast("bigint"), start)
-    return lines.select(start.alias("start_num"), end.alias("end_num"),
-                        F.get(parts, RULE_PROVINCE_FIELD).alias("province"))
+        guard = F.when(bad, F.raise_error(F.concat(F.lit("malformed ip rule: "), F.coalesce(value, F.lit("<null>")))))
+        return lines.select(F.coalesce(guard.cast("bigint"), start).alias("start_num"), end.alias("end_num"), province)
+    return lines.select(start.alias("start_num"), end.alias("end_num"), province, value.alias("line"),
+                        bad.alias("malformed"))
 
 
-def read_ip_rules(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+def split_rule_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of permissively parsed rules: (rules, rejected lines)."""
+    return (parsed.where(~F.col("malformed")).drop("line", "malformed"),
+            parsed.where("malformed").select("line"))
+
+
+def read_ip_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rules from text files (local, HDFS or object store paths alike)."""
-    return parse_rule_lines(spark.read.text(path), strict=strict)
+    return parse_rule_lines(spark.read.text(path))
+
+
+def read_ip_rules_with_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rules, rejected lines) of text files that may hold bad lines."""
+    return split_rule_rejects(parse_rule_lines(spark.read.text(path), strict=False))
 
 
 def rule_line(start_num: Column, end_num: Column, fields: list[Column]) -> Column:

@@ -8,30 +8,26 @@ from ..session import default_parallelism
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
-               spread: bool = False) -> DataFrame:
+               spread_by: str | None = None) -> DataFrame:
     """``<sf_dir>/<name>.parquet``; naming ``columns`` makes the projection
     explicit (Catalyst would prune anyway, this keeps the plan obvious).
 
-    ``spread`` is for inputs with heavy per-row work (tokenising, building
-    lines): see ``spread_partitions``.
+    ``spread_by`` (a key column) is for tables with heavy per-row work: see
+    ``spread_small``; the key is dropped unless it is among ``columns``.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread_partitions(df) if spread else df
-
-
-def spread_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread the rows over ``min_partitions`` (default: the cluster's cores)
-    only when the scan yields fewer splits than that, e.g. one large file with
-    a single row group.  A large multi-file input already has at least that
-    many splits and is returned untouched, with no shuffle.
-
-    The rows are hashed on all their columns: deterministic under task retry
-    without the pre-sort a round-robin repartition needs, and even unless
-    whole rows repeat.
-    """
-    want = min_partitions or default_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, *df.columns)
+    if spread_by:
+        df = df.select(spread_by, *[c for c in columns if c != spread_by]) if columns else df
+        df = spread_small(df, spread_by)
+    return df.select(*columns) if columns else df
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a table that cannot fill the cluster's cores by itself
+    (less than a full scan split a core, as planned: no job is run) over them,
+    by its key.  Larger tables are returned as they are, with no shuffle."""
+    spark = df.sparkSession
+    cores = default_parallelism(spark)
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    planned = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, key) if planned < cores * split else df

@@ -4,20 +4,21 @@ from .offsets import OffsetLedgerBatch, start_offset_ledger
 from .jobs import (SortedBatchCounts, batch_word_count_preview, kafka_order_metrics_job,
                    order_metrics_job, resume_options, running_word_count_preview,
                    running_word_count_table, sorted_batch_word_count)
-from .orders import (OrderMetricsBatch, compact_metric_ledger, flat_totals, lines_with_province,
-                     order_totals, order_totals_compacted, start_order_metrics, stored_offsets)
+from .ledger import Ledger, metric_ledger, offset_ledger, run_of, running_ledger
+from .orders import (OrderMetricsBatch, flat_totals, lines_with_province, order_totals, start_order_metrics,
+                     stored_offsets)
 from .runner import BATCH_INTERVAL, run_to_end, session_conf, with_trigger
-from .staging import files_per_trigger, stage_as_files
+from .staging import stream_lines, stream_table
 from .wordcount import (PerBatchWordCount, per_key_counts, read_per_batch_counts, running_counts,
                         start_per_batch_word_count, start_running_word_count)
 
 __all__ = [
-    "SortedBatchCounts", "batch_word_count_preview", "compact_metric_ledger", "kafka_order_metrics_job",
-    "order_metrics_job", "order_totals_compacted", "resume_options", "running_word_count_preview",
-    "running_word_count_table", "sorted_batch_word_count",
+    "Ledger", "SortedBatchCounts", "batch_word_count_preview", "kafka_order_metrics_job",
+    "metric_ledger", "offset_ledger", "order_metrics_job", "resume_options", "running_word_count_preview",
+    "run_of", "running_ledger", "running_word_count_table", "sorted_batch_word_count",
     "BATCH_INTERVAL", "OffsetLedgerBatch", "OrderMetricsBatch", "PerBatchWordCount",
-    "files_per_trigger", "flat_totals", "per_key_counts", "lines_with_province", "order_totals",
+    "flat_totals", "per_key_counts", "lines_with_province", "order_totals",
     "read_per_batch_counts", "run_to_end", "running_counts", "session_conf",
-    "stage_as_files", "start_offset_ledger", "start_order_metrics",
-    "start_per_batch_word_count", "start_running_word_count", "stored_offsets", "with_trigger",
+    "start_offset_ledger", "start_order_metrics",
+    "start_per_batch_word_count", "start_running_word_count", "stream_lines", "stream_table", "stored_offsets", "with_trigger",
 ]

@@ -12,16 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.offsets import latest_offsets, starting_offsets_json
+from ..operators.offsets import starting_offsets_json
 from ..operators.rangejoin import RangeTable
 from ..operators.ranking import cached_global_position
 from ..operators.wordcount import count_order, word_count
 from ..sinks.console import preview_writer
 from ..sinks.tables import overwrite_partitions
 from ..sources.kafka import kafka_options, read_kafka_stream
-from ..sources.ledger import read_offset_ledger
-from ..sources.tables import spread_partitions
-from .orders import OrderMetricsBatch, start_order_metrics
+from .ledger import run_of
+from .orders import OrderMetricsBatch, start_order_metrics, stored_offsets
 from .runner import with_trigger
 from .wordcount import start_running_word_count
 
@@ -62,10 +61,10 @@ class SortedBatchCounts:
         self.out_path = out_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        text = spread_partitions(batch.select("value"))
-        with cached_global_position(word_count(text, "value"), count_order()) as ranked:
-            overwrite_partitions(ranked.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                                 self.out_path, ["batch_id"])
+        with cached_global_position(word_count(batch, "value"), count_order()) as ranked:
+            overwrite_partitions(ranked.withColumn("run", F.lit(run_of(batch)))
+                                 .withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                                 self.out_path, ["run", "batch_id"])
 
 
 def sorted_batch_word_count(text: DataFrame, out_path: str, checkpoint: str,
@@ -90,7 +89,7 @@ def resume_options(spark: SparkSession, bootstrap_servers: str, topic: str, grou
     """Kafka options that resume a group from its stored offsets, or start
     at ``earliest`` when none are stored.  Only the latest row per partition
     (a handful) reaches the driver, to build the option text."""
-    rows = latest_offsets(read_offset_ledger(spark, offset_ledger), group_id, [topic]).collect()
+    rows = stored_offsets(spark, offset_ledger, group_id).where(F.col("topic") == topic).collect()
     start = starting_offsets_json(rows, {topic: partitions})
     return kafka_options(bootstrap_servers, [topic], start, **extra)
 
@@ -99,8 +98,9 @@ def kafka_order_metrics_job(spark: SparkSession, bootstrap_servers: str, topic:
                             partitions: int, rules: RangeTable, metric_ledger: str,
                             offset_ledger: str, checkpoint: str,
                             trigger: str | None = None) -> StreamingQuery:
-    """The order job resumed from the offset ledger (needs the Kafka
-    connector on the classpath)."""
+    """The order job resumed from the offset ledger (needs the Kafka connector
+    on the classpath).  A checkpoint goes on by itself; a new one starts at the
+    stored offsets, and its batches are added to those of the runs before."""
     opts = resume_options(spark, bootstrap_servers, topic, group_id, offset_ledger, partitions)
     records = read_kafka_stream(spark, opts)
     return order_metrics_job(records, rules, metric_ledger, checkpoint, group_id,

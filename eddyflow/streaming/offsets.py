@@ -3,26 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.offsets import batch_offsets
-from ..sinks.tables import overwrite_partitions
+from .ledger import FOLD_EVERY, fold_now_and_then, offset_ledger, run_of
 from .runner import with_trigger
 
 
 class OffsetLedgerBatch:
     """``foreachBatch`` body: one ledger row per topic partition of the batch
-    (exclusive end), in the batch's own partition.  An empty batch writes
+    (exclusive end), in the batch's own folder.  An empty batch writes
     nothing, so the stored resume point stays where it was."""
 
-    def __init__(self, ledger: str, group_id: str):
-        self.ledger = ledger
+    def __init__(self, ledger: str, group_id: str, fold_every: int = FOLD_EVERY):
+        self.ledger = offset_ledger(ledger)
         self.group_id = group_id
+        self.fold_every = fold_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch_offsets(batch, self.group_id).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        overwrite_partitions(rows, self.ledger, ["groupid", "batch_id"])
+        run = run_of(batch)
+        self.ledger.write(batch_offsets(batch, self.group_id), self.group_id, run, batch_id)
+        fold_now_and_then([self.ledger], batch.sparkSession, self.group_id, run, batch_id, self.fold_every)
 
 
 def start_offset_ledger(records: DataFrame, ledger: str, group_id: str, checkpoint: str,

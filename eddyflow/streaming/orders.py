@@ -1,11 +1,10 @@
-"""Order metrics per micro-batch into an idempotent ledger.
-
-Per batch, in this order: parse the lines, look up provinces, compute all
-three metrics in one aggregate, overwrite this batch's delta partition, then
-overwrite this batch's offset-ledger partition.  Both are keyed by
-(query, batch id): a batch that is re-run after a failure replaces its rows,
-and the offsets are recorded only after the deltas they account for.  A new
-checkpoint restarts batch ids at 0, so it must come with a new query name.
+"""Order metrics per micro-batch into ledgers.
+
+Per batch, in this order: parse the lines, look up provinces, compute all three
+metrics in one aggregate, write this batch's deltas, then this batch's offsets.
+With an offset ledger the offsets are the commit: totals count only the batches
+of a run up to its last one with offsets, so a batch whose offsets were never
+written, and which a resume from the offsets will read again, counts once.
 """
 
 from __future__ import annotations
@@ -22,8 +21,7 @@ from ..operators.metrics import flat_view, running_totals
 from ..operators.offsets import batch_offsets, latest_offsets
 from ..operators.rangejoin import RangeTable, range_lookup
 from ..sinks.tables import overwrite_partitions
-from ..sources.ledger import read_metric_store, read_offset_ledger
-from ..sources.tables import spread_partitions
+from .ledger import FOLD_EVERY, fold_now_and_then, metric_ledger as metrics_at, offset_ledger as offsets_at, run_of
 from .runner import with_trigger
 
 RECORD_COLUMNS = {"topic", "partition", "offset"}
@@ -42,38 +40,40 @@ class OrderMetricsBatch:
 
     def __init__(self, rules: RangeTable, metric_ledger: str, query: str,
                  offset_ledger: str | None = None, group_id: str | None = None,
-                 strict: bool = True, reject_path: str | None = None):
+                 strict: bool = True, reject_path: str | None = None, fold_every: int = FOLD_EVERY):
         self.rules = rules
-        self.metric_ledger = metric_ledger
+        self.metrics = metrics_at(metric_ledger)
+        self.offsets = offsets_at(offset_ledger) if offset_ledger else None
         self.query = query
-        self.offset_ledger = offset_ledger
         self.group_id = group_id or query
         self.strict = strict
         self.reject_path = reject_path
+        self.fold_every = fold_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        track = self.offset_ledger is not None and RECORD_COLUMNS <= set(batch.columns)
+        run, spark = run_of(batch), batch.sparkSession
+        track = self.offsets is not None and RECORD_COLUMNS <= set(batch.columns)
         if track:
             batch = batch.persist()  # read the source batch once for both writes
         try:
-            lines = parse_order_lines(spread_partitions(batch.select("value")), "value", strict=self.strict)
+            lines = parse_order_lines(batch.select("value"), "value", strict=self.strict)
             if not self.strict:
                 lines, rejects = split_rejects(lines)
                 if self.reject_path:
                     overwrite_partitions(
-                        rejects.withColumn("query", F.lit(self.query))
+                        rejects.withColumn("query", F.lit(self.query)).withColumn("run", F.lit(run))
                         .withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                        self.reject_path, ["query", "batch_id"])
-            deltas = (metric_deltas(lines_with_province(lines, self.rules))
-                      .withColumn("query", F.lit(self.query))
-                      .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-            overwrite_partitions(deltas, self.metric_ledger, ["query", "batch_id"])
+                        self.reject_path, ["query", "run", "batch_id"])
+            self.metrics.write(metric_deltas(lines_with_province(lines, self.rules)), self.query, run, batch_id)
             if track:
-                offsets = batch_offsets(batch, self.group_id).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                overwrite_partitions(offsets, self.offset_ledger, ["groupid", "batch_id"])
+                self.offsets.write(batch_offsets(batch, self.group_id), self.group_id, run, batch_id)
         finally:
             if track:
                 batch.unpersist()
+        # The batches before this one are finished: Spark runs them in order.
+        fold_now_and_then([self.metrics], spark, self.query, run, batch_id, self.fold_every)
+        if track:
+            fold_now_and_then([self.offsets], spark, self.group_id, run, batch_id, self.fold_every)
 
 
 def start_order_metrics(stream: DataFrame, job: OrderMetricsBatch, checkpoint: str,
@@ -83,69 +83,20 @@ def start_order_metrics(stream: DataFrame, job: OrderMetricsBatch, checkpoint: s
     return with_trigger(writer, trigger).start()
 
 
-def order_totals(spark: SparkSession, metric_ledger: str, query: str | None = None) -> DataFrame:
-    """``metric, key, income`` accumulated over every batch written so far."""
-    ledger = read_metric_store(spark, metric_ledger)
-    if query is not None:
-        ledger = ledger.where(F.col("query") == query)
-    return running_totals(ledger)
+def order_totals(spark: SparkSession, metric_ledger: str, query: str | None = None,
+                 offset_ledger: str | None = None, group_id: str | None = None) -> DataFrame:
+    """``metric, key, income`` accumulated over every batch written so far; with
+    the job's offset ledger, over every batch whose offsets are stored."""
+    committed = None
+    if offset_ledger:
+        committed = offsets_at(offset_ledger).positions(spark, group_id or query)
+    return running_totals(metrics_at(metric_ledger).read(spark, query, committed))
 
 
 def flat_totals(spark: SparkSession, metric_ledger: str) -> DataFrame:
     """``key, value`` in one flat key space over every query's deltas."""
-    return flat_view(read_metric_store(spark, metric_ledger))
+    return flat_view(metrics_at(metric_ledger).read(spark))
 
 
 def stored_offsets(spark: SparkSession, offset_ledger: str, group_id: str) -> DataFrame:
-    return latest_offsets(read_offset_ledger(spark, offset_ledger), group_id)
-
-
-BASE_SCHEMA = "metric string, key string, delta decimal(28,2), query string, upto_batch bigint"
-
-
-def compact_metric_ledger(spark: SparkSession, metric_ledger: str, base_root: str, query: str,
-                          upto_batch: int) -> None:
-    """Fold the deltas of batches ``<= upto_batch`` (and the previous base)
-    into a base snapshot ``base_root/query=../upto_batch=N``.
-
-    Nothing is deleted or rewritten: the totals view reads the newest base
-    plus only the delta partitions after it (partition pruning on
-    ``batch_id``), so it stays fast however long the stream runs.  Re-running
-    a compaction for the same N overwrites that snapshot with the same rows.
-    """
-    prev = _latest_base(spark, base_root, query)
-    deltas = read_metric_store(spark, metric_ledger).where(
-        (F.col("query") == query) & (F.col("batch_id") <= upto_batch))
-    parts = [deltas.select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta"))]
-    if prev is not None:
-        base_rows, base_upto = prev
-        parts = [deltas.where(F.col("batch_id") > base_upto)
-                 .select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta")), base_rows]
-    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    snap = (merged.groupBy("metric", "key").agg(F.sum("delta").cast("decimal(28,2)").alias("delta"))
-            .withColumn("query", F.lit(query)).withColumn("upto_batch", F.lit(upto_batch).cast("bigint")))
-    overwrite_partitions(snap, base_root, ["query", "upto_batch"])
-
-
-def _latest_base(spark: SparkSession, base_root: str, query: str):
-    try:
-        bases = spark.read.schema(BASE_SCHEMA).parquet(base_root).where(F.col("query") == query)
-    except Exception:  # noqa: BLE001 - no snapshot written yet
-        return None
-    upto = bases.agg(F.max("upto_batch")).first()[0]
-    if upto is None:
-        return None
-    return bases.where(F.col("upto_batch") == upto).select("metric", "key", "delta"), int(upto)
-
-
-def order_totals_compacted(spark: SparkSession, metric_ledger: str, base_root: str, query: str) -> DataFrame:
-    """``metric, key, income``: newest base snapshot plus later deltas."""
-    deltas = read_metric_store(spark, metric_ledger).where(F.col("query") == query)
-    prev = _latest_base(spark, base_root, query)
-    rows = deltas.select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta"))
-    if prev is not None:
-        base_rows, upto = prev
-        rows = (deltas.where(F.col("batch_id") > upto)
-                .select("metric", "key", F.col("delta").cast("decimal(28,2)").alias("delta"))
-                .unionByName(base_rows))
-    return rows.groupBy("metric", "key").agg(F.sum("delta").cast("double").alias("income"))
+    return latest_offsets(offsets_at(offset_ledger).read(spark, group_id), group_id)

@@ -1,26 +1,26 @@
-"""Replaying a table as stream input: files in the shared folder that a file
-stream picks up in several micro-batches."""
+"""Tables as stream input."""
 
 from __future__ import annotations
 
-import math
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import DataFrame
+from ..storage import is_file
 
+# A micro-batch takes about this much of the input; their number grows with it.
+BATCH_BYTES = 16 << 30
 
-def stage_as_files(df: DataFrame, path: str, files: int, fmt: str = "parquet") -> int:
-    """Write ``df`` under ``path`` as at least ``files`` files, without a
-    shuffle.  A frame with that many partitions already writes one file per
-    partition; otherwise each write task cuts its output by record count
-    (one extra count).  Returns the number of files written, for
-    ``maxFilesPerTrigger``."""
-    writer = df.write.format(fmt)
-    if df.rdd.getNumPartitions() < files:
-        rows = df.count()
-        writer = writer.option("maxRecordsPerFile", max(1, math.ceil(rows / max(1, files))))
-    writer.save(path)
-    return len(df.sparkSession.read.format(fmt).load(path).inputFiles())
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The Parquet table ``name`` as a file stream, read where it lies."""
+    root = sf_dir.rstrip("/")
+    path = f"{root}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", batch_bytes)
+    if is_file(spark, path):  # a file stream watches folders
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(root)
+    return reader.parquet(path)
 
-def files_per_trigger(total_files: int, batches: int) -> int:
-    return max(1, math.ceil(total_files / max(1, batches)))
+
+def stream_lines(spark: SparkSession, df: DataFrame, path: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Write the one text column of ``df`` under ``path``, once, and stream it."""
+    df.write.text(path)
+    return spark.readStream.option("maxBytesPerTrigger", batch_bytes).text(path)

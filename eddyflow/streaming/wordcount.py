@@ -1,8 +1,8 @@
 """Streaming word counts: per micro-batch, and running over all batches.
 
-Both write through ``foreachBatch`` into a table partitioned by batch id with
-dynamic partition overwrite: when Spark re-runs a batch after a failure the
-batch's rows are replaced, not added twice.
+Both write through ``foreachBatch`` into a ledger (see ``ledger``): when Spark
+runs a batch again after a failure its rows are replaced, not added twice, and
+a new checkpoint writes beside the runs before it.
 """
 
 from __future__ import annotations
@@ -12,12 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.wordcount import word_count, words
-from ..sinks.tables import overwrite_partitions
-from ..sources.tables import spread_partitions
+from .ledger import FOLD_EVERY, fold_now_and_then, per_batch_ledger, run_of, running_ledger
 from .runner import session_conf, stateful_settings, with_trigger
 
-RUNNING_SCHEMA = "word string, cnt bigint, batch_id bigint"
-PER_BATCH_SCHEMA = "word string, cnt bigint, batch_id bigint"
+JOB = "words"
 
 
 class PerBatchWordCount:
@@ -27,20 +25,25 @@ class PerBatchWordCount:
     belongs to), the words are counted per key inside the micro-batch; rows
     of one key that arrive over several micro-batches are added up by
     ``per_key_counts``, so the result does not depend on how the source cut
-    the micro-batches.
+    the micro-batches.  Such partial counts are folded; counts of batches that
+    stand alone are a result each and stay as they are.
     """
 
-    def __init__(self, out_path: str, text_col: str = "value", keys: tuple[str, ...] = ()):
+    def __init__(self, out_path: str, text_col: str = "value", keys: tuple[str, ...] = (),
+                 fold_every: int = FOLD_EVERY):
         self.out_path = out_path
         self.text_col = text_col
         self.keys = tuple(keys)
+        self.fold_every = fold_every if keys else 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = spread_partitions(batch.select(*self.keys, self.text_col))
-        counts = (words(rows, self.text_col, keep=self.keys)
-                  .groupBy(*self.keys, "word").agg(F.count(F.lit(1)).alias("cnt"))
-                  .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        overwrite_partitions(counts, self.out_path, ["batch_id"])
+        run = run_of(batch)
+        kinds = dict(batch.dtypes)
+        ledger = per_batch_ledger(self.out_path, tuple((k, kinds[k]) for k in self.keys))
+        counts = (words(batch, self.text_col, keep=self.keys)
+                  .groupBy(*self.keys, "word").agg(F.count(F.lit(1)).alias("cnt")))
+        ledger.write(counts, JOB, run, batch_id)
+        fold_now_and_then([ledger], batch.sparkSession, JOB, run, batch_id, self.fold_every)
 
 
 def start_per_batch_word_count(stream: DataFrame, out_path: str, checkpoint: str,
@@ -54,29 +57,33 @@ def start_per_batch_word_count(stream: DataFrame, out_path: str, checkpoint: str
 
 
 def read_per_batch_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """``batch_id, word, cnt`` of a job started without keys."""
-    return spark.read.schema(PER_BATCH_SCHEMA).parquet(out_path).select("batch_id", "word", "cnt")
+    """``run, batch_id, word, cnt`` of a job started without keys."""
+    return per_batch_ledger(out_path).read(spark, JOB).select("run", "batch_id", "word", "cnt")
 
 
 def per_key_counts(spark: SparkSession, out_path: str, keys: str) -> DataFrame:
     """``<keys>, word, cnt`` of a keyed job: micro-batch partials added up
     (a combinable sum).  ``keys`` is a DDL list such as ``"turn bigint"``."""
-    names = [k.split()[0] for k in keys.split(",")]
-    ledger = spark.read.schema(f"{keys}, word string, cnt bigint, batch_id bigint").parquet(out_path)
-    return ledger.groupBy(*names, "word").agg(F.sum("cnt").alias("cnt"))
+    typed = tuple((k.split()[0], k.split()[1]) for k in keys.split(","))
+    ledger = per_batch_ledger(out_path, typed)
+    return ledger.folded(ledger.read(spark, JOB))
 
 
-def _write_changed(out_path: str):
-    def sink(changed: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                             out_path, ["batch_id"])
-    return sink
+class _WriteChanged:
+    def __init__(self, out_path: str, fold_every: int):
+        self.ledger, self.fold_every = running_ledger(out_path), fold_every
+
+    def __call__(self, changed: DataFrame, batch_id: int) -> None:
+        run = run_of(changed)
+        self.ledger.write(changed, JOB, run, batch_id)
+        fold_now_and_then([self.ledger], changed.sparkSession, JOB, run, batch_id, self.fold_every)
 
 
 def start_running_word_count(stream: DataFrame, out_path: str, checkpoint: str,
                              text_col: str = "value", trigger: str | None = None,
                              state_partitions: int | None = None,
-                             name: str | None = None, output_mode: str = "update") -> StreamingQuery:
+                             name: str | None = None, output_mode: str = "update",
+                             fold_every: int = FOLD_EVERY) -> StreamingQuery:
     """Running count per word, kept in the state store; each batch emits the
     words it changed with their new totals (update mode) into ``out_path``.
 
@@ -89,7 +96,7 @@ def start_running_word_count(stream: DataFrame, out_path: str, checkpoint: str,
     spark = stream.sparkSession
     counts = word_count(stream, text_col)
     writer = (counts.writeStream.outputMode(output_mode)
-              .foreachBatch(_write_changed(out_path))
+              .foreachBatch(_WriteChanged(out_path, fold_every))
               .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
@@ -98,7 +105,8 @@ def start_running_word_count(stream: DataFrame, out_path: str, checkpoint: str,
 
 
 def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """Current totals: counts only grow, so the latest total of a word is its
-    largest emitted total (a combinable max, no window)."""
-    return (spark.read.schema(RUNNING_SCHEMA).parquet(out_path)
-            .groupBy("word").agg(F.max("cnt").alias("cnt")))
+    """Current totals: a state store's counts only grow, so the latest total of
+    a word is its largest (a combinable max); every checkpoint counted records
+    of its own, so their totals add up."""
+    ledger = running_ledger(out_path)
+    return ledger.folded(ledger.read(spark, JOB)).groupBy("word").agg(F.sum("cnt").alias("cnt"))

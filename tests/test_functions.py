@@ -78,6 +78,7 @@ IP_CASES = [
     ("...", 0),                                             # no parts at all
     ("5", 5),
     ("1.2", 258),
+    (None, None),
     ("1.2.3.4.5", (1 << 32) | (2 << 24) | (3 << 16) | (4 << 8) | 5),
 ]
 
@@ -120,9 +121,9 @@ def test_number_to_ip_round_trip(spark):
 
 
 def test_parse_order_line(spark):
-    df = spark.createDataFrame([("A 202.106.196.115 手机 iPhone8 8000",), ("B 1.2.3.4 c i 1.5 extra",)], "value string")
+    df = spark.createDataFrame([("A 61.20.3.4 厨房 水壶 35",), ("B 1.2.3.4 c i 1.5 extra",)], "value string")
     rows = parse_order_lines(df).collect()
-    assert [tuple(r) for r in rows] == [("A", "202.106.196.115", "手机", "iPhone8", 8000.0),
+    assert [tuple(r) for r in rows] == [("A", "61.20.3.4", "厨房", "水壶", 35.0),
                                         ("B", "1.2.3.4", "c", "i", 1.5)]
 
 
@@ -145,3 +146,10 @@ def test_format_record(spark):
     assert got == ["offset = 7, key = k, value = v", "offset = 8, key = null, value = w"]
     got = [r[0] for r in df.select(format_record(F.col("offset"), F.col("value"))).collect()]
     assert got == ["offset = 7, value = v", "offset = 8, value = w"]
+
+
+def test_permissive_parse_rejects_bad_addresses(spark):
+    df = spark.createDataFrame([("A 1.2.3.4 c i 5",), ("A not.an.ip c i 5",), ("A 1..2 c i 5",), ("A 5. c i 5",)], "value string")
+    good, bad = split_rejects(parse_order_lines(df, strict=False))
+    assert sorted(r["ip"] for r in good.collect()) == ["1.2.3.4", "5."]
+    assert good.select(ip_to_number(F.col("ip"))).count() == 2 and bad.count() == 2

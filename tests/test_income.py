@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from eddyflow.functions import parse_order_lines
@@ -9,9 +10,9 @@ from eddyflow.sources import read_order_log
 from eddyflow.streaming import lines_with_province
 
 SAMPLE = os.path.join(os.path.dirname(__file__), "data", "order_sample.log")
-GOLDEN_CATEGORY = {"手机": 16200.0, "服装": 199.0, "家具": 5000.0, "家电": 1000.0,
-                   "化妆品": 400.0, "食品": 1200.0, "图书": 170.0}
-GOLDEN_TOTAL = 24169.0
+GOLDEN_CATEGORY = {"kitchen": 119.0, "garden": 67.75, "toys": 27.75, "books": 69.0}
+GOLDEN_PROVINCE = {"east": 111.25, "west": 114.0, "": 58.25}
+GOLDEN_TOTAL = 283.5
 
 
 def _lines(spark):
@@ -19,9 +20,9 @@ def _lines(spark):
 
 
 def _rules(spark):
-    # 202.106.0.0/16 -> "north", 202.96.0.0-202.98.255.255 -> "south"; the rest unmatched.
-    df = spark.createDataFrame([((202 << 24) | (106 << 16), (202 << 24) | (106 << 16) | 0xFFFF, "north"),
-                                ((202 << 24) | (96 << 16), (202 << 24) | (98 << 16) | 0xFFFF, "south")],
+    # 61.20.0.0/16 is east, 77.1.0.0 to 77.3.255.255 west; other addresses have no rule.
+    df = spark.createDataFrame([((61 << 24) | (20 << 16), (61 << 24) | (21 << 16) - 1, "east"),
+                                ((77 << 24) | (1 << 16), (77 << 24) | (4 << 16) - 1, "west")],
                                "start_num bigint, end_num bigint, province string")
     return prepare_ranges(df)
 
@@ -41,11 +42,8 @@ def test_one_pass_metrics(spark):
     assert got[("total", "TOTAL_INCOME")] == GOLDEN_TOTAL
     for k, v in GOLDEN_CATEGORY.items():
         assert got[("category", k)] == v
-    # north: lines A, B (x2 each) = 8000+200+199+8000; south: D, F, H, J lines.
-    assert got[("province", "north")] == 16399.0
-    assert got[("province", "south")] == 1000 + 1000 + 200 + 200 + 600 + 600 + 90 + 80
-    # C lines (202.102.152.3) match no rule and count under ''.
-    assert got[("province", "")] == 4000.0
+    for k, v in GOLDEN_PROVINCE.items():
+        assert got[("province", k)] == v
     assert sum(v for (m, _), v in got.items() if m == "province") == GOLDEN_TOTAL
 
 
@@ -58,7 +56,7 @@ def test_flat_view_merges_same_key(spark):
     ledger = spark.createDataFrame([("category", "X", 10.0, 0), ("province", "X", 5.0, 0),
                                     ("total", "TOTAL_INCOME", 15.0, 0), ("category", "X", 1.0, 1)],
                                    "metric string, key string, delta double, batch_id bigint")
-    ledger = ledger.withColumn("delta", F.col("delta").cast("decimal(18,2)"))
+    ledger = ledger.withColumn("delta", F.col("delta").cast("decimal(38,8)"))
     flat = {r["key"]: r["value"] for r in flat_view(ledger).collect()}
     assert flat == {"X": 16.0, "TOTAL_INCOME": 15.0}
     totals = {(r["metric"], r["key"]): r["income"] for r in running_totals(ledger).collect()}
@@ -69,3 +67,22 @@ def test_decimal_sum_is_order_independent(spark):
     vals = [0.1] * 10 + [1e9, -1e9]
     df = spark.createDataFrame([(v,) for v in vals], "price double").repartition(5)
     assert total_income(df).first()[0] == 1.0
+
+
+def test_large_and_tiny_prices_keep_every_digit(spark):
+    line = lambda p: (f"B 61.20.0.1 c i {p}",)
+    def totals(lines):
+        parsed = parse_order_lines(spark.createDataFrame(lines, "value string"))
+        rows = metrics_one_pass(lines_with_province(parsed, _rules(spark))).collect()
+        assert total_income(parsed).first()[0] == {r["metric"]: r["income"] for r in rows}["total"]
+        return {r["metric"]: r["income"] for r in rows}["total"]
+    assert totals([line("9.0e15"), line("9.0e15")]) == 1.8e16
+    assert totals([line("0.004")] * 1000) == 4.0
+    with pytest.raises(Exception, match="more than eight decimals"):
+        totals([line("0.0000000001")])
+
+
+def test_grouping_sets_expand_sums_not_lines(spark):
+    plan = metric_deltas(lines_with_province(_lines(spark), _rules(spark)))._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert text.index("Expand") < text.rindex("Aggregate [category")

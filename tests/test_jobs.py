@@ -4,9 +4,9 @@ import time
 from pyspark.sql import functions as F
 
 from eddyflow.operators import prepare_ranges
-from eddyflow.streaming import (OrderMetricsBatch, batch_word_count_preview, compact_metric_ledger,
-                                order_metrics_job, order_totals, order_totals_compacted, resume_options,
-                                run_to_end, running_word_count_preview, sorted_batch_word_count)
+from eddyflow.streaming import (OrderMetricsBatch, batch_word_count_preview, metric_ledger, order_metrics_job,
+                                order_totals, resume_options, run_to_end, running_word_count_preview,
+                                sorted_batch_word_count)
 
 
 def _write(path, name, lines):
@@ -38,8 +38,8 @@ def test_sorted_batch_word_count(spark, tmp_path):
         ("a", 1, 1, 0), ("b", 2, 2, 0), ("c", 3, 3, 0)]
 
 
-def test_order_job_and_compaction(spark, tmp_path):
-    src, ledger, base = (str(tmp_path / d) for d in ("src", "ledger", "base"))
+def test_order_job_and_folding(spark, tmp_path):
+    src, ledger = (str(tmp_path / d) for d in ("src", "ledger"))
     for i in range(4):
         _write(src, f"f{i}.txt", [f"b{i} 16.0.0.{i} cat{i % 2} item {10 + i}", f"b{i} 99.0.0.1 cat0 item 0.5"])
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
@@ -47,11 +47,10 @@ def test_order_job_and_compaction(spark, tmp_path):
     full = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, ledger, "q").collect()}
     assert full[("total", "TOTAL_INCOME")] == 10 + 11 + 12 + 13 + 4 * 0.5
     assert full[("province", "")] == 2.0
-    compact_metric_ledger(spark, ledger, base, "q", 1)
-    assert {(r["metric"], r["key"]): r["income"] for r in order_totals_compacted(spark, ledger, base, "q").collect()} == full
-    compact_metric_ledger(spark, ledger, base, "q", 3)
-    compact_metric_ledger(spark, ledger, base, "q", 3)
-    assert {(r["metric"], r["key"]): r["income"] for r in order_totals_compacted(spark, ledger, base, "q").collect()} == full
+    run = next(n for n in os.listdir(f"{ledger}/query=q")).split("=")[1]
+    for upto in (1, 3, 3):
+        metric_ledger(ledger).fold(spark, "q", run, upto)
+        assert {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, ledger, "q").collect()} == full
 
 
 def test_resume_options_from_ledger(spark, tmp_path):

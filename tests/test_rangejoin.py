@@ -43,23 +43,23 @@ def test_rule_parse_strict(spark, line):
 @pytest.mark.parametrize("bits", [16, 8, 24])
 def test_edges_broadcast(spark, rules, bits):
     out, table = _lookup(spark, rules, bucket_bits=bits)
-    assert table.broadcast
     assert {r["ip"]: r["p"] for r in out.collect()} == dict(EDGE_CASES)
 
 
 def test_plan_is_hash_join_not_nested_loop(spark, rules):
     out, _ = _lookup(spark, rules)
+    assert out.count() == len(EDGE_CASES)
+    out.collect()  # Spark decides by the measured size of the bucket table
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    assert "isFinalPlan=true" in plan and "BroadcastHashJoin" in plan
     assert "NestedLoop" not in plan
 
 
-def test_shuffled_fallback_beyond_bound(spark, rules):
+def test_shuffled_join_where_spark_may_not_broadcast(spark, rules):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out, table = _lookup(spark, rules, max_broadcast_rows=0)
-        assert not table.broadcast
+        out, _ = _lookup(spark, rules)
         assert {r["ip"]: r["p"] for r in out.collect()} == dict(EDGE_CASES)
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "NestedLoop" not in plan
@@ -101,8 +101,8 @@ def test_point_lookup_demo_ip(spark):
 
 
 def test_hot_bucket_in_shuffled_fallback(spark):
-    """A third of the points in one bucket, rules too big to broadcast (bound
-    0): AQE splits the hot partition and every row still gets its rule."""
+    """A third of the points in one bucket, rules too big to broadcast:
+    AQE splits the hot partition and every row still gets its rule."""
     confs = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -116,7 +116,7 @@ def test_hot_bucket_in_shuffled_fallback(spark):
     try:
         rules = spark.createDataFrame([(i << 16, (i << 16) + 1000, f"r{i}") for i in range(64)],
                                       "start_num bigint, end_num bigint, province string")
-        table = prepare_ranges(rules, max_broadcast_rows=0)
+        table = prepare_ranges(rules)
         n = 30000
         pts = spark.range(n).select(
             F.col("id"),
@@ -134,3 +134,24 @@ def test_hot_bucket_in_shuffled_fallback(spark):
     finally:
         for k in confs:
             spark.conf.unset(k)
+
+
+def test_null_point_matches_nothing(spark):
+    rules = spark.createDataFrame([(0, 10, "a")], "start_num bigint, end_num bigint, province string")
+    pts = spark.createDataFrame([(1, None), (2, 0)], "id int, p bigint")
+    got = {r["id"]: r["province"] for r in range_lookup(pts, F.col("p"), prepare_ranges(rules)).collect()}
+    assert got == {1: None, 2: "a"}
+
+
+def test_rules_without_bounds_are_rejected(spark):
+    df = spark.createDataFrame([(None, 5, "a"), (7, 9, "b")], "start_num bigint, end_num bigint, province string")
+    with pytest.raises(RangeRuleError, match="no bounds"):
+        prepare_ranges(df)
+
+
+def test_bad_rules_go_to_rejects(spark, tmp_path):
+    from eddyflow.sources import read_ip_rules_with_rejects
+    (tmp_path / "rules.txt").write_text(RULE_LINES[0] + "\na|b|x|2|c|d|P\n1|2|3\n")
+    good, bad = read_ip_rules_with_rejects(spark, str(tmp_path / "rules.txt"))
+    assert [tuple(r) for r in good.collect()] == [(268435456, 318767103, "A")]
+    assert sorted(r["line"] for r in bad.collect()) == ["1|2|3", "a|b|x|2|c|d|P"]

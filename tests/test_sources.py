@@ -1,7 +1,7 @@
 import pytest
 
 from eddyflow.sources import (kafka_options, messages_for_rows, numbered_messages, read_ip_rules,
-                              read_kafka_stream, read_socket_stream, records_from_events)
+                              read_kafka_batch, read_kafka_stream, read_socket_stream, records_from_events)
 
 
 def test_rule_file(spark, tmp_path):
@@ -47,3 +47,15 @@ def test_socket_builder_does_not_connect(spark):
     # Loading a socket source only declares it; nothing connects until start.
     df = read_socket_stream(spark, "localhost", 9)
     assert df.isStreaming and df.columns == ["value"]
+
+
+def test_bounded_kafka_read_does_not_start_at_the_end(spark):
+    with pytest.raises(ValueError, match="latest"):
+        read_kafka_batch(spark, kafka_options("localhost:1", ["t"]))
+
+
+def test_kafka_payload(spark):
+    from eddyflow.sinks import kafka_payload
+    df = spark.createDataFrame([(1, "x"), (2, None)], "n int, v string")
+    assert [tuple(r) for r in kafka_payload(df, "n").collect()] == [("1",), ("2",)]
+    assert kafka_payload(df, "v").columns == ["value"]

@@ -52,6 +52,10 @@ def test_per_batch_has_no_memory(spark, tmp_path):
     assert got == {(0, "a"): 2, (0, "b"): 1, (1, "a"): 1}
 
 
+def _stage(df, path, files, fmt="parquet"):
+    df.repartition(files).write.format(fmt).save(path)
+
+
 def _sf_rules(spark):
     from eddyflow.plans.queries import ip_rules
     return prepare_ranges(ip_rules(spark, SF))
@@ -59,10 +63,9 @@ def _sf_rules(spark):
 
 def test_order_stream_equals_batch_and_retry_is_idempotent(spark, tmp_path):
     from eddyflow.sources import order_log_from_tables
-    from eddyflow.streaming import stage_as_files
     stage, ledger, ck = (str(tmp_path / d) for d in ("stage", "ledger", "ck"))
     log = order_log_from_tables(spark, SF)
-    stage_as_files(log, stage, 3, fmt="text")
+    _stage(log, stage, 3, "text")
     rules = _sf_rules(spark)
     job = OrderMetricsBatch(rules, ledger, query="q1")
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(stage)
@@ -79,7 +82,7 @@ def test_order_stream_equals_batch_and_retry_is_idempotent(spark, tmp_path):
     # batch 0 now holds exactly the rows of `first`, counted once
     only_first = {(r["metric"], r["key"]): r["income"]
                   for r in metrics_one_pass(lines_with_province(parse_order_lines(first), rules)).collect()}
-    ledger_rows = spark.read.parquet(ledger).where("batch_id = 0")
+    ledger_rows = spark.read.parquet(ledger).where("run = 'direct' and batch_id = 0")
     got0 = {(r["metric"], r["key"]): float(r["d"]) for r in
             ledger_rows.groupBy("metric", "key").agg(F.sum("delta").alias("d")).collect()}
     assert got0 == only_first
@@ -145,13 +148,14 @@ def test_permissive_batch_routes_rejects(spark, tmp_path):
     from eddyflow.sources import read_metric_store
     ledger, rejects = str(tmp_path / "ledger"), str(tmp_path / "rejects")
     job = OrderMetricsBatch(_sf_rules(spark), ledger, query="q", strict=False, reject_path=rejects)
-    lines = spark.createDataFrame([("A 16.0.0.1 c i 10",), ("broken line",), ("B 16.0.0.2 c i notaprice",)],
+    lines = spark.createDataFrame([("A 16.0.0.1 c i 10",), ("broken line",), ("B 16.0.0.2 c i notaprice",),
+                                   ("B not.an.ip c i 5",)],
                                   "value string")
     job(lines, 3)
     totals = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, ledger, "q").collect()}
     assert totals[("total", "TOTAL_INCOME")] == 10.0
     bad = spark.read.parquet(rejects)
-    assert bad.count() == 2 and {r["batch_id"] for r in bad.collect()} == {3}
+    assert bad.count() == 3 and {r["batch_id"] for r in bad.collect()} == {3}
     assert read_metric_store(spark, ledger).where("batch_id = 3").count() == 3
 
 
@@ -202,10 +206,9 @@ class _CrashAfterWrite:
 def test_crash_and_restart_counts_each_batch_once(spark, tmp_path):
     import pytest as _pytest
     from eddyflow.sources import order_log_from_tables
-    from eddyflow.streaming import stage_as_files
     stage, ledger, ck = (str(tmp_path / d) for d in ("stage", "ledger", "ck"))
     log = order_log_from_tables(spark, SF)
-    stage_as_files(log, stage, 4, fmt="text")
+    _stage(log, stage, 4, "text")
     rules = _sf_rules(spark)
     job = OrderMetricsBatch(rules, ledger, query="crash")
     crashing = _CrashAfterWrite(job, 1)
@@ -223,3 +226,114 @@ def test_crash_and_restart_counts_each_batch_once(spark, tmp_path):
              for r in metrics_one_pass(lines_with_province(parse_order_lines(log), rules)).collect()}
     streamed = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, ledger, "crash").collect()}
     assert streamed == batch
+
+
+RECORDS = "topic string, partition int, offset bigint, key string, value string"
+
+
+def _record_run(spark, tmp_path, job, name, rows, fail_at=None):
+    """One streaming run with a checkpoint of its own over ``rows``."""
+    src = str(tmp_path / f"src-{name}")
+    spark.createDataFrame(rows, RECORDS).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(RECORDS).parquet(src)
+    run_to_end(start_order_metrics(stream, job, str(tmp_path / f"ck-{name}"), "available_now"), 300)
+
+
+def test_resume_with_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    metrics, offsets = str(tmp_path / "m"), str(tmp_path / "o")
+    job = OrderMetricsBatch(_sf_rules(spark), metrics, "q", offset_ledger=offsets, group_id="g")
+    _record_run(spark, tmp_path, job, "one", [("t", 0, 0, None, "A 16.0.0.1 c i 10"), ("t", 0, 1, None, "A 16.0.0.1 c i 20"),
+                                              ("t", 1, 0, None, "A 16.0.0.1 d i 5")])
+    _record_run(spark, tmp_path, job, "two", [("t", 0, 2, None, "A 16.0.0.1 c i 100")])
+    totals = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, metrics, "q", offsets, "g").collect()}
+    assert totals[("total", "TOTAL_INCOME")] == 135.0 and totals[("category", "c")] == 130.0
+    assert {(r["topic"], r["partitioner"]): r["offset"] for r in stored_offsets(spark, offsets, "g").collect()} == {
+        ("t", 0): 3, ("t", 1): 1}
+
+
+def test_crash_between_deltas_and_offsets_counts_once(spark, tmp_path):
+    import pytest as _pytest
+    metrics, offsets = str(tmp_path / "m"), str(tmp_path / "o")
+    job = OrderMetricsBatch(_sf_rules(spark), metrics, "q", offset_ledger=offsets, group_id="g")
+    rows = [("t", 0, 0, None, "A 16.0.0.1 c i 10")]
+    write = job.offsets.write
+
+    def crash(*args):
+        raise RuntimeError("crash before the offsets are stored")
+
+    object.__setattr__(job.offsets, "write", crash)
+    with _pytest.raises(Exception, match="crash"):
+        _record_run(spark, tmp_path, job, "one", rows)
+    object.__setattr__(job.offsets, "write", write)
+    assert order_totals(spark, metrics, "q", offsets, "g").count() == 0
+    _record_run(spark, tmp_path, job, "two", rows)  # a resume from the offsets reads the record again
+    totals = {r["metric"]: r["income"] for r in order_totals(spark, metrics, "q", offsets, "g").collect()}
+    assert totals["total"] == 10.0
+
+
+def test_folding_keeps_totals_and_bounds_the_folders(spark, tmp_path):
+    from eddyflow.streaming import metric_ledger, offset_ledger
+    metrics, offsets = str(tmp_path / "m"), str(tmp_path / "o")
+    job = OrderMetricsBatch(_sf_rules(spark), metrics, "q", offset_ledger=offsets, group_id="g", fold_every=5)
+    most = 0
+    for i in range(50):
+        job(spark.createDataFrame([("t", i % 2, i, None, f"A 16.0.0.1 c i {i}")], RECORDS), i)
+        most = max(most, len(os.listdir(f"{metrics}/query=q/run=direct")), len(os.listdir(f"{offsets}/groupid=g/run=direct")))
+    assert most <= 11
+    assert len(os.listdir(f"{metrics}/_base/q")) <= 2
+    for _ in range(2):
+        totals = {r["metric"]: r["income"] for r in order_totals(spark, metrics, "q", offsets, "g").collect()}
+        assert totals["total"] == sum(range(50))
+        assert {r["partitioner"]: r["offset"] for r in stored_offsets(spark, offsets, "g").collect()} == {0: 49, 1: 50}
+        metric_ledger(metrics).fold(spark, "q", "direct", 49)
+        offset_ledger(offsets).fold(spark, "g", "direct", 49)
+
+
+def test_an_unfinished_base_is_ignored(spark, tmp_path):
+    from eddyflow.streaming import metric_ledger
+    ledger = metric_ledger(str(tmp_path / "m"))
+    rows = spark.createDataFrame([("total", "T", 1)], "metric string, key string, delta int").selectExpr(
+        "metric", "key", "cast(delta as decimal(38,8)) delta")
+    for i in range(3):
+        ledger.write(rows, "q", "r", i)
+    ledger.fold(spark, "q", "r", 1)
+    os.makedirs(f"{ledger.path}/_base/q/v=1/rows")  # a fold that died before its last file
+    assert float(ledger.read(spark, "q").agg(F.sum("delta")).first()[0]) == 3.0
+    ledger.fold(spark, "q", "r", 2)
+    assert float(ledger.read(spark, "q").agg(F.sum("delta")).first()[0]) == 3.0
+
+
+def test_running_counts_of_two_checkpoints_add_up(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    _write_text(src, "b1.txt", ["a b", "a"])
+    for ck in ("ck1", "ck2"):
+        run_to_end(start_running_word_count(spark.readStream.text(src), out, str(tmp_path / ck), "value",
+                                            "available_now", state_partitions=2), 120)
+    assert {r["word"]: r["cnt"] for r in running_counts(spark, out).collect()} == {"a": 4, "b": 2}
+
+
+def test_full_print_runs_on_the_executors(spark, tmp_path):
+    from eddyflow.operators import word_count
+    from eddyflow.sinks import full_print_writer
+    src = str(tmp_path / "src")
+    _write_text(src, "a.txt", ["x y", "y"])
+    q = (full_print_writer(word_count(spark.readStream.text(src), "value"))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    run_to_end(q, 120)
+
+
+def test_tables_stream_from_files_and_folders(spark, tmp_path):
+    from eddyflow.streaming import stream_table
+    for n in (1, 3):
+        spark.range(30).repartition(n).write.parquet(str(tmp_path / f"d{n}" / "t.parquet"))
+    spark.range(30).coalesce(1).write.parquet(str(tmp_path / "x"))
+    os.makedirs(tmp_path / "f")
+    part = next(p for p in os.listdir(tmp_path / "x") if p.startswith("part-"))
+    os.link(tmp_path / "x" / part, tmp_path / "f" / "t.parquet")
+    for d in ("d1", "d3", "f"):
+        seen = []
+        q = (stream_table(spark, str(tmp_path / d), "t").writeStream
+             .foreachBatch(lambda b, i: seen.append(b.count())).option("checkpointLocation", str(tmp_path / f"ck-{d}"))
+             .trigger(availableNow=True).start())
+        run_to_end(q, 120)
+        assert sum(seen) == 30
