@@ -1,0 +1,83 @@
+"""The pipeline against the plain Python versions of its stages."""
+
+import brute
+import pytest
+
+import __spark_entry__ as entry
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+SF = "/root/testdata/sf0.001"
+
+
+def expected(rows, items):
+    """rows: (doc_id, text, source) -> ids after each of the first four stages."""
+    out = []
+    rows = [r for r, j in zip(rows, brute.quality(rows)) if j["kept"]]
+    out.append([r[0] for r in rows])
+    rows = [r for r in rows if any(map(str.isalpha, r[1] or ""))]
+    out.append([r[0] for r in rows])
+    first = brute.group({r[0]: brute.fingerprint(r[1]) for r in rows})
+    rows = list({r[0]: r for r in rows if first[r[0]] == r[0]}.values())
+    out.append([r[0] for r in rows])
+    bad = {d for d, _ in brute.contained([r[:2] for r in rows], items)}
+    rows = [r for r in rows if r[0] not in bad]
+    out.append([r[0] for r in rows])
+    return out, rows
+
+
+def staged(spark, sf_dir):
+    from eddyflow.llm.common import table, written
+    docs, seen = table(spark, sf_dir, "documents"), []
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, sf_dir), "t")
+        seen.append(docs)
+        assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == columns
+    return seen
+
+
+def check(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    want, rows = expected([(r["doc_id"], r["text"], r["source"]) for r in docs], items)
+    seen = staged(spark, sf_dir)
+    for ids, got in zip(want, seen):
+        assert sorted(r["doc_id"] for r in got.select("doc_id").collect()) == sorted(ids)
+    ids = brute.token_ids([t for _, t, _ in rows])
+    pieces = sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in seen[-1].collect())
+    assert pieces == sorted((i, s, len(x[s:s + 4096]), brute.crc(x[s:s + 4096]))
+                            for (i, _, _), x in zip(rows, ids) for s in range(0, len(x), 4096))
+    return want
+
+
+def test_stages_on_the_smallest_tables(spark):
+    want = check(spark, SF)
+    assert 200 > len(want[0]) >= len(want[1]) > len(want[2]) > len(want[3]) > 0
+
+
+def test_run_is_registered(spark):
+    assert entry.queries()["pipeline"](spark, SF).columns[0] == "doc_id"
+
+
+def tables(spark, path, docs, items):
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, fp long, "
+                                "component_id string, _bad_id int, words string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string, doc_id int").write.parquet(f"{path}/benchmark.parquet")
+    return str(path)
+
+
+def test_nulls_repeats_clashing_columns(spark, tmp_path):
+    rest = (None, 1, "x", 2, "y")
+    one = "the quick brown fox jumps over the lazy dog and runs far away from here"
+    docs = [(1, one, "en", "a", *rest), (1, one, "en", "a", *rest), (2, one.upper(), None, None, *rest),
+            (3, None, None, None, *rest), (4, "", "en", "a", *rest), (5, "1 2 3 4 5 6 7 8 9 10 11 12", "en", "a", *rest),
+            (6, "one benchmark passage that nobody should ever see in training data at all, said someone", "en", "b", *rest),
+            (7, " ".join(f"word{i}" for i in range(9000)), "en", "b", *rest)]
+    items = [(1, "Benchmark passage that nobody should ever see in training", 1), (2, None, 1)]
+    want = check(spark, tables(spark, tmp_path, docs, items))
+    assert [sorted(x) for x in want] == [[1, 1, 2, 5, 6, 7], [1, 1, 2, 6, 7], [1, 6, 7], [1, 7]]
+
+
+def test_empty_tables(spark, tmp_path):
+    path = tables(spark, tmp_path, [], [])
+    assert corpus_pipeline.run(spark, path).count() == 0
