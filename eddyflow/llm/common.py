@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -40,16 +40,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, group: list[str], order: list[str], out: str, spread: Column,
-             parts: int = 64) -> DataFrame:
+             parts: int | None = None) -> DataFrame:
     """``out``: 0, 1, 2 … within each ``group``, without one task per group.
 
     Rows of a group are dealt by ``spread`` (a 64-bit hash of columns that tell
-    rows apart) over ``parts`` sub-groups; each sub-group is numbered by its own
+    rows apart) over ``parts`` sub-groups (as many as shuffle partitions); each sub-group is numbered by its own
     window, and the sub-groups' sizes (groups x parts rows) are added up before
     it.  Rows equal in ``spread`` and ``order`` are interchangeable.
     """
-    from pyspark.sql import Window
-
+    if parts is None:
+        parts = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = df.withColumn("_sub", F.pmod(spread, F.lit(parts)).cast("int"))
     sizes = dealt.groupBy(*group, "_sub").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)

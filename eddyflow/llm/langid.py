@@ -30,6 +30,7 @@ DOCUMENT = 300
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 MIN_SCORE = 0.05
+PIECE = 1 << 20
 
 
 def held_out(id_col: str = "doc_id", folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
@@ -42,7 +43,21 @@ def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     letters = re.sub(r"[\W\d_]+", " ", (text or "").lower())
     if not any(map(str.isalpha, letters)):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    a = np.frombuffer(f" {letters.strip()} ".encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    found = [_piece_counts(f" {p} ") for p in _pieces(letters.strip())]
+    return found[0] if len(found) == 1 else fold_counts(found)
+
+
+def _pieces(letters: str) -> Iterator[str]:
+    """Long texts in runs of about ``PIECE`` characters, cut between words."""
+    at = 0
+    while len(letters) - at > PIECE and (cut := letters.find(" ", at + PIECE)) >= 0:
+        yield letters[at:cut]
+        at = cut + 1
+    yield letters[at:] if at else letters
+
+
+def _piece_counts(words: str) -> tuple[np.ndarray, np.ndarray]:
+    a = np.frombuffer(words.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     gap = a == 32
     two = (a[:-1] << np.uint64(21)) | a[1:]
     three = (two[:-1] << np.uint64(21)) | a[2:]
@@ -50,24 +65,26 @@ def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(grams, return_counts=True)
 
 
+def fold_counts(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of several texts in one."""
+    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(inverse, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
+
+
 def training_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """``lang, gram, n`` over all rows of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
 
-        def fold(parts):
-            keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            return [(keys, np.bincount(inverse, weights=np.concatenate([c for _, c in parts])).astype(np.int64))]
-
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 parts = held.setdefault(lang, [])
                 parts.append(gram_counts(text))
                 if len(parts) > 500:
-                    held[lang] = fold(parts)
+                    held[lang] = [fold_counts(parts)]
         for lang, parts in held.items():
-            keys, counts = fold(parts)[0]
+            keys, counts = fold_counts(parts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)),
                                               pa.array(counts)], names=["lang", "gram", "n"])
 

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from ..session import shared_path
 from .common import written
 from .eliasfano import EliasFano, ef_encode
-from .tokens import slices
+from .tokens import pieces, slices
 from .warc import open_store
 
 FOLDS, HELD_OUT = 7, 2
@@ -80,7 +80,8 @@ def token_codes(codes: _Codes, texts: list[bytes]) -> tuple[np.ndarray, np.ndarr
     end = look_up(END)
     for i, t in enumerate(texts):
         before = len(out)
-        out.extend(map(look_up, t.lower().split()))
+        for piece in pieces(t):
+            out.extend(map(look_up, piece.lower().split()))
         out.append(end)
         n[i] = len(out) - before
     return np.fromiter(out, np.int64, len(out)), n

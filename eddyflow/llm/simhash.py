@@ -34,31 +34,28 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import components
-from .tokens import slices
+from .tokens import pieces, slices
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 HOT = 1024
 DENSE = 16384
-CHUNK_WORDS = 1 << 16
 
 
 def simhash(text: bytes, n: int = SHINGLE) -> int:
     """Unsigned 64-bit fingerprint of the text's ``n``-word shingles."""
     from xxhash import xxh64_intdigest
-    words = text.lower().split()  # bytes: A-Z only, and the contract's six spaces
-    if not words:
-        return 0
-    if len(words) < n:
-        return xxh64_intdigest(b" ".join(words), SEED)
-    total = len(words) - n + 1
-    ones = np.zeros(64, np.int64)
-    for i in range(0, total, CHUNK_WORDS):
-        part = words[i:i + CHUNK_WORDS + n - 1]
-        runs = map(b" ".join, zip(*(part[k:] for k in range(n))))
-        h = np.fromiter(map(xxh64_intdigest, runs, repeat(SEED)), np.uint64, min(CHUNK_WORDS, total - i))
+    ones, total, last = np.zeros(64, np.int64), 0, []
+    for piece in pieces(text):
+        words = last + piece.lower().split()  # bytes: A-Z only, and the contract's six spaces
+        runs = map(b" ".join, zip(*(words[k:] for k in range(n))))
+        h = np.fromiter(map(xxh64_intdigest, runs, repeat(SEED)), np.uint64, max(0, len(words) - n + 1))
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(h)
+        last = words[-(n - 1):] if n > 1 else []
+    if not total:
+        return xxh64_intdigest(b" ".join(last), SEED) if last else 0
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 

@@ -19,6 +19,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from unicodedata import is_normalized
@@ -36,6 +37,7 @@ END_ID = 2
 WORD_END = "</w>"  # the vocabulary's mark of a token that ends a word
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation
 SLICE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 CACHE_WORDS = 1 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -137,7 +139,8 @@ class WordEncoder:
         look_up = self.codes.__getitem__
         for i, t in enumerate(texts):
             before = len(codes)
-            codes.extend(map(look_up, t.lower().split()))
+            for piece in pieces(t):
+                codes.extend(map(look_up, piece.lower().split()))
             codes.append(0)
             counts[i] = len(codes) - before
         if self.codes.new:
@@ -153,6 +156,18 @@ class WordEncoder:
         return self.flat[where], offsets
 
 
+def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """A text in runs of about ``size`` bytes, cut at white space."""
+    at = 0
+    while len(text) - at > size:
+        cut = re.compile(rb"[ \t-\r]").search(text, at + size)
+        if not cut:
+            break
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES):
     """(other columns' batch, texts as bytes) in runs of about ``size`` bytes."""
     for b in batches:

@@ -68,6 +68,16 @@ def test_held_out_accuracy(spark):
     assert r["n"] > 200 and r["a"] > 0.97
 
 
+def test_long_texts_count_alike_in_pieces(monkeypatch):
+    from eddyflow.llm import langid
+    rng = random.Random(2)
+    text = " ".join("".join(rng.choice("abcé") for _ in range(rng.randint(1, 9))) + rng.choice([" ", ", 7 "]) for _ in range(500))
+    keys, counts = langid.gram_counts(text)
+    monkeypatch.setattr(langid, "PIECE", 50)
+    again = langid.gram_counts(text)
+    assert (keys == again[0]).all() and (counts == again[1]).all()
+
+
 def lang_rows():
     rng = random.Random(0)
     en, de = ["the", "and", "of", "house", "water"], ["der", "und", "das", "straße", "über"]

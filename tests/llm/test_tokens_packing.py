@@ -40,6 +40,15 @@ def test_word_by_word_encoding_equals_the_tokenizer(encoder, texts):
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == brute.token_ids(texts)
 
 
+def test_pieces_cut_at_white_space():
+    from eddyflow.llm.tokens import pieces
+    text = b"ab cd\tef  gh" * 7
+    for size in (1, 3, 10, 1000):
+        assert b"".join(pieces(text, size)) == text
+        assert [w for p in pieces(text, size) for w in p.split()] == text.split()
+    assert list(pieces(b"x" * 50, 10)) == [b"x" * 50] and list(pieces(b"")) == [b""]
+
+
 def test_token_files(spark):
     rows = sorted(rows_of(), key=lambda r: r[0])
     ids = brute.token_ids([t for _, t in rows])
