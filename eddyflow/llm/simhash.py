@@ -104,14 +104,16 @@ def forest(fp: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.nda
     return (np.concatenate(roots), np.concatenate(members)) if roots else (fp[:0], fp[:0])
 
 
-def forest_dense(fp: np.ndarray, free: list[int], max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """The same for fingerprints that differ only in the three bytes ``free``:
-    ``max_bits`` rounds of taking the smallest label across every bit give the
-    smallest label within that distance."""
+def forest_dense(fp: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The same over the cube of the bits in which the fingerprints differ at
+    all: ``max_bits`` rounds of taking the smallest label across every bit give
+    the smallest label within that distance."""
+    differ = int(np.bitwise_or.reduce(fp ^ fp[0]))
+    where = [b for b in range(64) if differ >> b & 1]
+    bits = len(where)
     at = np.zeros(len(fp), np.int64)
-    for i, p in enumerate(free):
-        at |= ((fp >> np.uint64(8 * p)) & np.uint64(255)).astype(np.int64) << (8 * i)
-    bits = 8 * len(free)
+    for i, b in enumerate(where):
+        at |= ((fp >> np.uint64(b)) & np.uint64(1)).astype(np.int64) << i
     label = np.arange(len(fp), dtype=np.int32)
     while True:
         cube = np.full(1 << bits, len(fp), np.int32)
@@ -136,9 +138,8 @@ def posting_links(postings: DataFrame, max_bits: int, dense: int = DENSE) -> Dat
     """``a, b``: spanning links of every posting list ``(mask, masked)``."""
 
     def link(mask: int, fp: np.ndarray):
-        if len(fp) <= dense or len(free := [p for p in range(8) if not (mask >> (8 * p)) & 255]) > 3:
-            return forest(fp, max_bits)
-        return forest_dense(fp, free, max_bits)
+        free = sum(not (mask >> (8 * p)) & 255 for p in range(8))
+        return forest(fp, max_bits) if len(fp) <= dense or free > 3 else forest_dense(fp, max_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the list that may go on in the next batch
