@@ -50,7 +50,7 @@ FOLDS, HELD_OUT = 7, 2
 PRIOR, SPREAD = 5.0, 0.8
 SEED = 42
 END = b"\n"  # no word has white space in it
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 1_500_000
 VOCAB_WORDS = 1_000_000
 SLICE_BYTES = 4 << 20
 CACHE_WORDS = 1 << 20
@@ -387,17 +387,20 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             return group.select(["slice", "data"]).append_column("facts", pa.array([True] * len(group)))
         parts = [unpack_pairs(x) for x in group.column("data").to_pylist()]
         context, word, doc, train = (np.concatenate(x) for x in zip(*parts))
+        ends = np.cumsum([len(p[0]) for p in parts])
         pairs = (context.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
+        doc = doc.astype(np.int32)
+        del parts, context, word  # a shard's arrays are the task's memory
         vocabulary = Vocabulary(files, bits, total, documents)
         seen_pairs, seen_counts = np.unique(pairs[train], return_counts=True)
         name = f"{path}/pairs-{shard:08d}"
         put_file(name, build_trie(seen_pairs, seen_counts, vocabulary))
+        del seen_pairs, seen_counts, train
         trie = Trie(map_file(name), vocabulary.size)
         asked, back = np.unique(pairs, return_inverse=True)
         ids = (asked >> np.uint64(32)).astype(np.int64), (asked & np.uint64(0xFFFFFFFF)).astype(np.int64)
         floor = log_back_off(vocabulary.counts(ids[0])) + vocabulary.log_unigram(vocabulary.counts(ids[1]))
         gain = np.nan_to_num(trie.log_probability(asked) - floor)[back]
-        ends = np.cumsum([len(p[0]) for p in parts])
         out = []
         for a, b in zip([0, *ends[:-1]], ends):
             mine, total_gain = np.unique(doc[a:b]), np.bincount(doc[a:b], gain[a:b])
