@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import text_of, written
 from .components import components
 from .tokens import pieces, slices
 
@@ -60,16 +60,18 @@ def simhash(text: bytes, n: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """``doc_id, text_hash, fp``: the fingerprint as a signed long."""
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
+                       F.col(text_col).cast("string").alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, texts in slices(batches, "text"):
             fp = np.array([simhash(t, n) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fp)],
+                                             names=["doc_id", "text_hash", "fp"])
 
-    return base.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return base.mapInArrow(run, f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def byte_mask(positions) -> int:
@@ -197,9 +199,10 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT,
     return posting_links(cold.union(finer), max_bits, dense)
 
 
-def near_duplicates(docs: DataFrame, n: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
-                    text_col: str = "text", hot: int = HOT, dense: int = DENSE) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` per row."""
+def grouped_rows(docs: DataFrame, n: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                 text_col: str = "text", hot: int = HOT, dense: int = DENSE) -> DataFrame:
+    """``doc_id, text_hash, fp, component, component_id`` per row; ``component``
+    (a fingerprint) tells groups apart, also where ids are null or repeated."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the index guarantees pairs of at most three differing bits")
     rows = written(fingerprints(docs, n, id_col, text_col), "fingerprints")
@@ -209,16 +212,29 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, max_bits: int = MAX_BITS,
              .select("fp", "first_id", F.coalesce("component", "fp").alias("component")))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id")).select(
         F.col("component").alias("c"), "component_id")
-    of_fp = named.join(least, F.col("component") == F.col("c")).select(F.col("fp").alias("n_fp"), "component_id")
-    return rows.join(of_fp, F.col("fp") == F.col("n_fp")).select(
+    of_fp = named.join(least, F.col("component") == F.col("c")).select(
+        F.col("fp").alias("n_fp"), "component", "component_id")
+    return rows.join(of_fp, F.col("fp") == F.col("n_fp")).drop("n_fp")
+
+
+def near_duplicates(docs: DataFrame, **kwargs) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` per row."""
+    return grouped_rows(docs, **kwargs).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, **kwargs) -> DataFrame:
-    """One row of each group of near-duplicates: that with the smallest id."""
-    judged = written(near_duplicates(docs, **kwargs), "near_duplicates")
-    kept = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"))
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
-    if kept.groupBy("_kept_id").count().where("count > 1").isEmpty():
+    """One row of each group of near-duplicates: that with the smallest id (null
+    after all others), then the smallest text hash."""
+    judged = grouped_rows(docs, **kwargs).groupBy("component", "doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rows"))
+    kept = written(judged.groupBy("component").agg(first.alias("first")).select(
+        F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_text"),
+        F.col("first.rows").alias("_kept_rows")), "near_duplicates")
+    text_hash = F.xxhash64(text_of())
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (text_hash == kept["_kept_text"]), "left_semi")
+    if kept.where("_kept_rows > 1").isEmpty():
         return out
-    return out.dropDuplicates(["doc_id"])  # rows repeated with one id
+    # Rows repeated with one id and text.
+    return out.withColumn("_kept_text", text_hash).dropDuplicates(["doc_id", "_kept_text"]).drop("_kept_text")
