@@ -16,7 +16,7 @@ words is one shingle of all its words.
 
 Defined results: null or wordless items and documents match nothing; repeated
 documents rows give one pair; a document id that occurs with several texts is
-judged by its best text; empty tables give empty results; extra columns are
+judged by its best text, rows without an id each by their own; empty tables give empty results; extra columns are
 ignored.
 """
 
@@ -78,11 +78,10 @@ def item_shingles(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame
         (F.col("at") < F.col("k")).alias("sketched"))
 
 
-def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+def contaminated_texts(docs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, item_shingles, found_shingles, containment`` of every
-    pair with containment of at least ``threshold``."""
-    classes, members = item_classes(items)
+    """``doc_id, text_hash, i_class, size, found`` of every text and class of
+    items with containment of at least ``threshold``."""
     index = item_shingles(classes, threshold)
     # Shingle lengths that occur among the items: at most five values.
     lengths = sorted(r["n"] for r in index.select("n").distinct().collect())
@@ -101,12 +100,20 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
                       & (F.xxhash64("text") == F.col("k_text"))).select(
         "doc_id", F.col("k_text").alias("text_hash"), "classes", normal_words(F.col("text")).alias("words"))
     runs = F.concat(F.array().cast("array<string>"), *[shingle_texts(F.col("words"), n) for n in lengths])
-    found = (held.select("doc_id", "text_hash", "classes", F.explode(F.array_distinct(runs)).alias("run"))
-             .join(index.select(F.col("class_id").alias("i_class"), "shingle", "size"),
-                   (F.col("run") == F.col("shingle")) & F.array_contains("classes", F.col("i_class")))
-             .groupBy("doc_id", "text_hash", "i_class", "size")
-             .agg(F.count_distinct("run").alias("found"))
-             .where(F.col("found") >= F.col("size") * threshold - 1e-9)
+    return (held.select("doc_id", "text_hash", "classes", F.explode(F.array_distinct(runs)).alias("run"))
+            .join(index.select(F.col("class_id").alias("i_class"), "shingle", "size"),
+                  (F.col("run") == F.col("shingle")) & F.array_contains("classes", F.col("i_class")))
+            .groupBy("doc_id", "text_hash", "i_class", "size")
+            .agg(F.count_distinct("run").alias("found"))
+            .where(F.col("found") >= F.col("size") * threshold - 1e-9))
+
+
+def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, item_shingles, found_shingles, containment`` of every
+    pair with containment of at least ``threshold``."""
+    classes, members = item_classes(items)
+    found = (contaminated_texts(docs, classes, threshold, id_col, text_col)
              .groupBy("doc_id", "i_class", "size").agg(F.max("found").alias("found")))
     return (found.join(members, F.col("i_class") == F.col("class_id"))
             .select("doc_id", "item_id", F.col("size").cast("long").alias("item_shingles"),
@@ -116,5 +123,10 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all columns."""
-    bad = contaminated_pairs(docs, items, threshold).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+    classes, _ = item_classes(items)
+    # Rows without an id are documents of their own: the text tells them apart.
+    own = lambda hashed: F.when(F.col("doc_id").isNull(), hashed)
+    bad = contaminated_texts(docs, classes, threshold).select(
+        F.col("doc_id").alias("_bad_id"), own(F.col("text_hash")).alias("_bad_text")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"])
+                     & own(F.xxhash64(text_of())).eqNullSafe(bad["_bad_text"]), "left_anti")

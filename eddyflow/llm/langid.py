@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import text_of
+
 PROFILE = 400
 DOCUMENT = 300
 FOLDS, HELD_OUT = 3, 1
@@ -104,7 +106,7 @@ def language_profiles(docs: DataFrame, size: int = PROFILE, lang_col: str = "lan
 
 def predict_languages(docs: DataFrame, profiles: DataFrame, size: int = PROFILE, top: int = DOCUMENT,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` per row."""
+    """``doc_id, text_hash, held_out, lang_pred, score`` per row."""
     ranked = profiles.collect()  # `size` rows per language
     langs = sorted({r["lang"] for r in ranked})
     grams = np.array(sorted({r["gram"] for r in ranked}), dtype=np.int64).view(np.uint64)
@@ -127,22 +129,30 @@ def predict_languages(docs: DataFrame, profiles: DataFrame, size: int = PROFILE,
         for b in batches:
             found = [judge(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), pa.array([x for x, _ in found], pa.string()),
-                 pa.array([s for _, s in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+                [b.column("doc_id"), b.column("text_hash"), b.column("held_out"),
+                 pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
+                names=["doc_id", "text_hash", "held_out", "lang_pred", "score"])
 
-    base = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
-                       F.col(text_col).cast("string").alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
+                       held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
-    return base.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return base.mapInArrow(run, f"doc_id {kind}, text_hash bigint, held_out boolean, lang_pred string, score double")
 
 
-def identify(docs: DataFrame, size: int = PROFILE, top: int = DOCUMENT) -> DataFrame:
-    """Learn from the documents outside the held-out fold, judge all."""
+def judge_languages(docs: DataFrame, size: int = PROFILE, top: int = DOCUMENT) -> DataFrame:
+    """Learn from the documents outside the held-out fold, judge all; ``doc_id``
+    and ``text_hash`` are the key of a row."""
     return predict_languages(docs, language_profiles(docs.where(~held_out()), size), size, top)
 
 
+def identify(docs: DataFrame, **kwargs) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` per row."""
+    return judge_languages(docs, **kwargs).drop("text_hash")
+
+
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE, **kwargs) -> DataFrame:
     """The rows of ``docs`` whose language is known, with all their columns."""
-    bad = identify(docs, **kwargs).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
-    ids = bad.select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_bad_id"]), "left_anti")
+    bad = judge_languages(docs, **kwargs).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
+    keys = bad.select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")).distinct()
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["_bad_id"])
+                     & (F.xxhash64(text_of()) == keys["_bad_text"]), "left_anti")
