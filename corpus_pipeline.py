@@ -13,13 +13,14 @@ from eddyflow.llm.common import table, written
 from eddyflow.llm.decontam import drop_contaminated
 from eddyflow.llm.langid import keep_known
 from eddyflow.llm.packing import pack_documents
-from eddyflow.llm.quality import keep_good
+from eddyflow.llm.quality import clean_good
 from eddyflow.llm.simhash import keep_first
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the line frequencies reject go."""
-    return keep_good(docs)
+    """Documents that the base rules or the line frequencies reject go; lines
+    over the limit are cut from the texts of the others."""
+    return clean_good(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ Only DataFrame functions: texts are read once, each row leaves a narrow record
 
 Line frequency: lines are normalised (white space collapsed, lower case) and
 hashed; per host (``source``) the distinct documents of each line are counted;
-a line found in more than ``max_docs`` documents is removed; a document whose
+a line found in more than ``max_docs`` documents is removed (``clean_good`` gives
+the texts without such lines, the verdicts tell who is left); a document whose
 remaining words are fewer than ``min_left`` or than ``min_left_share`` of its
 words is depleted and rejected.
 
@@ -64,15 +65,21 @@ def _covered_words(hashes: Column, n: int) -> Column:
     return let(let(keyed, positions), total)
 
 
+def _has_word(line: Column) -> Column:
+    return line.rlike(WORD_PATTERN)
+
+
+def _normal(line: Column) -> Column:
+    return F.lower(F.btrim(F.regexp_replace(line, SPACE_CLASS + "+", " ")))
+
+
 def document_records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      host_col: str = "source") -> DataFrame:
     """One narrow row per document row: base counts, signature, and
     ``lines: array<struct<hash, words>>`` of the lines that have a word."""
-    has_word = lambda l: l.rlike(WORD_PATTERN)
-    normal = lambda l: F.lower(F.btrim(F.regexp_replace(l, SPACE_CLASS + "+", " ")))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text_of(text_col).alias("text"))
     split = base.select("doc_id", "host", "text", split_words(F.col("text")).alias("words"),
-                        F.filter(F.split("text", "\n"), has_word).alias("raw_lines"))
+                        F.filter(F.split("text", "\n"), _has_word).alias("raw_lines"))
     symbols = sum((F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit(c), F.lit("")))
                    for c in SYMBOLS), F.lit(0))
     parts = split.select(
@@ -83,7 +90,7 @@ def document_records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("long").alias("n_dup_lines"),
         _window_hashes(F.col("words"), WINDOW).alias("hashes"),
         F.xxhash64("text").alias("text_hash"),
-        F.transform("raw_lines", normal).alias("norm"))
+        F.transform("raw_lines", _normal).alias("norm"))
     repeated = F.size("hashes") > F.size(F.array_distinct("hashes"))
     return parts.select(
         "doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -100,9 +107,9 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (n_repeat_words * 100 > n_words * MAX_REPEAT_PERCENT)
 
 
-def depleted_documents(records: DataFrame, max_docs: int = MAX_DOCS, min_spread: float = MIN_SPREAD,
-                       min_left: int = MIN_LEFT, min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
-    """``doc_id, text_hash, left_words`` of the documents that lose too much."""
+def lines_over_limit(records: DataFrame, max_docs: int = MAX_DOCS, min_spread: float = MIN_SPREAD) -> DataFrame:
+    """``host, hash, doc_id, text_hash, n_words, words, rows``: the lines of each
+    document that are over the limit in its host."""
     lines = records.select("doc_id", "host", "text_hash", F.xxhash64("signature").alias("sig"), "n_words",
                            F.explode("lines").alias("line")).select(
         "doc_id", "host", "text_hash", "sig", "n_words", F.col("line.hash").alias("hash"),
@@ -117,14 +124,19 @@ def depleted_documents(records: DataFrame, max_docs: int = MAX_DOCS, min_spread:
     # occurrence; a repeated row of the table has the same text hash).
     per_doc = hits.groupBy("host", "hash", "doc_id", "text_hash", "sig", "n_words", "words").agg(
         F.count(F.lit(1)).alias("rows"))
-    copies = records.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     spread = (per_doc.groupBy("host", "hash", "sig").agg(F.count(F.lit(1)).alias("docs"))
               .groupBy("host", "hash").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("sigs"))
               .where((F.col("sigs") > max_docs) & (F.col("sigs") >= F.col("docs") * min_spread))
               .select(F.col("host").alias("b_host"), F.col("hash").alias("b_hash")))
-    lost = (per_doc.join(spread, F.col("host").eqNullSafe(F.col("b_host")) & (F.col("hash") == F.col("b_hash")),
-                         "left_semi")
-            .groupBy("doc_id", "text_hash", "n_words").agg(F.sum(F.col("rows") * F.col("words")).alias("lost")))
+    return per_doc.join(spread, F.col("host").eqNullSafe(F.col("b_host")) & (F.col("hash") == F.col("b_hash")),
+                        "left_semi")
+
+
+def depleted_documents(records: DataFrame, over: DataFrame, min_left: int = MIN_LEFT,
+                       min_left_share: float = MIN_LEFT_SHARE) -> DataFrame:
+    """``doc_id, text_hash, left_words`` of the documents that lose too much."""
+    lost = over.groupBy("doc_id", "text_hash", "n_words").agg(F.sum(F.col("rows") * F.col("words")).alias("lost"))
+    copies = records.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     repeated = copies.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), "copies")
     left = (lost.join(repeated, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")),
                       "left")
@@ -133,25 +145,59 @@ def depleted_documents(records: DataFrame, max_docs: int = MAX_DOCS, min_spread:
                       ).select("doc_id", "text_hash", F.col("left_words").cast("long"))
 
 
+def _judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+            max_docs: int = MAX_DOCS, min_spread: float = MIN_SPREAD, **left) -> tuple[DataFrame, DataFrame]:
+    """(verdicts, lines over the limit)."""
+    records = written(document_records(docs, id_col, text_col, host_col), "quality")
+    over = lines_over_limit(records, max_docs, min_spread)
+    depleted = depleted_documents(records, over, **left).select(
+        F.col("doc_id").alias("d_id"), F.col("text_hash").alias("d_hash"), F.lit(True).alias("depleted"))
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    verdicts = (records.drop("lines", "signature", "host")
+                .join(depleted, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("text_hash") == F.col("d_hash")),
+                      "left")
+                .select("doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        failed.alias("base_failed"),
+                        (~failed & F.col("depleted").isNull()).alias("kept")))
+    return verdicts, over
+
+
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   **limits) -> DataFrame:
     """Per document row: base counts, ``base_failed``, ``kept``, and
     ``text_hash`` (with ``doc_id`` the key of the row)."""
-    records = written(document_records(docs, id_col, text_col, host_col), "quality")
-    depleted = depleted_documents(records, **limits).select(
-        F.col("doc_id").alias("d_id"), F.col("text_hash").alias("d_hash"), F.lit(True).alias("depleted"))
-    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    return (records.drop("lines", "signature", "host")
-            .join(depleted, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("text_hash") == F.col("d_hash")), "left")
-            .select("doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    failed.alias("base_failed"),
-                    (~failed & F.col("depleted").isNull()).alias("kept")))
+    return _judged(docs, id_col, text_col, host_col, **limits)[0]
+
+
+def _of_row(docs: DataFrame, keys: DataFrame) -> Column:
+    return (docs["doc_id"].eqNullSafe(keys["_bad_id"])
+            & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == keys["_bad_text"]))
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that every rule keeps, with all their columns."""
     bad = judge_quality(docs, **limits).where(~F.col("kept")).select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"])
-                     & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["_bad_text"]),
-                     "left_anti")
+    return docs.join(bad, _of_row(docs, bad), "left_anti")
+
+
+def clean_good(docs: DataFrame, **limits) -> DataFrame:
+    """The rows that ``keep_good`` keeps, the lines over the limit cut from
+    their texts; a text without such lines stays as it is."""
+    verdicts, over = _judged(docs, **limits)
+    bad = verdicts.where(~F.col("kept")).select(
+        "doc_id", "text_hash", F.lit(True).alias("gone"),
+        F.lit(None).cast("struct<host:string,hash:bigint>").alias("line"))
+    cut = over.select("doc_id", "text_hash", F.lit(False).alias("gone"),
+                      F.struct(F.col("host").cast("string").alias("host"), "hash").alias("line"))
+    # One row per document that a rule touches; its lines are fewer than the text has.
+    keys = bad.union(cut).groupBy("doc_id", "text_hash").agg(
+        F.max("gone").alias("_gone"), F.collect_set("line").alias("_cut")).select(
+        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text"), "_gone", "_cut")
+    host = docs["source"].cast("string")
+    stays = lambda l: ~(_has_word(l) & F.array_contains(
+        keys["_cut"], F.struct(host.alias("host"), F.xxhash64(_normal(l)).alias("hash"))))
+    text = F.when(F.size(keys["_cut"]) > 0, F.array_join(F.filter(F.split(docs["text"], "\n"), stays), "\n")).otherwise(
+        docs["text"])
+    return docs.join(keys, _of_row(docs, keys), "left").where(~F.coalesce(keys["_gone"], F.lit(False))).select(
+        *[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
