@@ -253,6 +253,13 @@ def shard_of(context: np.ndarray, word: np.ndarray, counts: np.ndarray, shards:
     return (spread_ids(context) + spread_ids(word) % runs) % shards
 
 
+def facts_group(number: int) -> int:
+    """Where the documents' own numbers of a slice go: a group of its own beside
+    the shards (all 64 bits of ``number`` count: the low ones are the slice's
+    place within its partition)."""
+    return -1 - number
+
+
 def pack_pairs(context: np.ndarray, word: np.ndarray, doc: np.ndarray, train: np.ndarray) -> bytes:
     """Pairs sorted by context: differences and ids in byte planes, zstd."""
     gaps = np.diff(context, prepend=0).astype("<u8")
@@ -374,7 +381,7 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             with pa.ipc.new_stream(sink, facts.schema) as w:
                 w.write_table(facts)
             # The documents' own numbers pass by the shards' tasks.
-            rows.append((-1 - number % 4096, number, sink.getvalue().to_pybytes()))
+            rows.append((facts_group(number), number, sink.getvalue().to_pybytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
                                               pa.array([r[1] for r in rows], pa.int64()),
                                               pa.array([r[2] for r in rows], pa.binary())],
