@@ -10,7 +10,8 @@ that ended well are in it.
 Reading: each task streams archives in pieces of ``CHUNK`` bytes and gives rows
 (record, chunk number, position, running SHA-1, optionally the bytes); the last
 row of a record holds the digest of the whole payload, which is compared with
-the record's header.  No step holds a whole record.
+the record's header; this side never holds a whole record.  Cutting payloads into
+rows does: memory there grows with the longest record (about twice its bytes).
 
 Defined results: a null payload is empty; an empty payload is a payload like any
 other; rows repeated with one id are records of their own (all responses if the
