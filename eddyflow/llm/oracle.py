@@ -7,7 +7,11 @@ cannot be written in it; those are tested against brute force.
 from __future__ import annotations
 
 from .langid import DOCUMENT, FOLDS, HELD_OUT, PROFILE, UNKNOWN
+from .prefixtrie import GROUP, MAX_SHARED
 from .quality import MAX_DOCS, MIN_LEFT, MIN_LEFT_SHARE, MIN_SPREAD, MIN_WORDS, SYMBOLS
+from .resample import BUCKETS, PERCENT, SEED
+from .resample import MIN_WORDS as MIN_DRAWN_WORDS
+from .rpforest import COSINE
 from .urlfilter import MIN_SOFT, RULES, SOFT_TERMS, STRICT_TERMS
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -151,10 +155,102 @@ select doc_id, item_id, cast(size as bigint) as item_shingles, cast(found as big
 from f join sizes using (item_id) where found >= 0.8 * size - 1e-9
 """
 
+# The bytes of a text, in hexadecimal digits, as numbers.
+_BYTES = """list_transform(range(octet_length(encode({0}))),
+  lambda i: cast('0x' || substr(hex(encode({0})), cast(2 * i + 1 as int), 2) as bigint))"""
+_CRC32_BYTES = f"""xor(4294967295, list_reduce(list_concat([4294967295::bigint], {_BYTES}),
+  lambda c, x: list_reduce(list_concat([xor(c, x)], range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUNS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all({_FOLDED}, '{_RUNS}') as ws from documents),
+dw as (select r, unnest(ws) as w from d),
+bw as (select unnest(regexp_extract_all({_FOLDED}, '{_RUNS}')) as w from benchmark),
+vocab as (select w, {_CRC32_BYTES.format("w")} % {BUCKETS} as bucket
+          from (select distinct w from (select w from dw union all select w from bw))),
+s as (select bucket, count(*) as s from dw join vocab using (w) group by bucket),
+t as (select bucket, count(*) as t from bw join vocab using (w) group by bucket),
+gain as (
+  select s.bucket, cast(floor(1000 * ln((cast(coalesce(t, 0) as double) + 1) * ((select count(*) from dw) + {BUCKETS})
+    / ((cast(s as double) + 1) * ((select count(*) from bw) + {BUCKETS})))) as bigint) as gain
+  from s left join t on s.bucket = t.bucket),
+weight as (select r, sum(gain) as weight from dw join vocab using (w) join gain using (bucket) group by r),
+scored as (
+  select d.r, doc_id, cast(len(ws) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+    cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('{SEED}:' || coalesce(cast(doc_id as varchar), '')), 1, 8)
+      as bigint) + 0.5::double) / 4294967296::double))) as bigint) as score
+  from d left join weight on d.r = weight.r),
+ranked as (
+  select *, row_number() over (partition by n_features >= {MIN_DRAWN_WORDS} order by score desc, doc_id nulls last, r) as k,
+    count(*) over (partition by n_features >= {MIN_DRAWN_WORDS}) as n
+  from scored)
+select doc_id, n_features, weight, score,
+  case when n_features >= {MIN_DRAWN_WORDS} and k <= {PERCENT} * n // 100 then k end as rank
+from ranked
+"""
+
+OP12 = rf"""
+with turns as (
+  select conv_id as c, conv_id - conv_id % {GROUP} as lead, coalesce(text, '') as text,
+    sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as h, turn
+  from conversations where conv_id is not null),
+own as (select *, row_number() over (partition by c order by turn nulls first, substr(h, 1, 32)) - 1 as i from turns),
+convs as (select distinct c, lead,
+  case when c = lead then 0 else {_CRC32.format("cast(c as varchar)")} % {MAX_SHARED} end as shared from turns),
+rebuilt as (
+  select convs.c, own.i, own.h, length(own.text) as chars from convs join own on own.c = convs.lead where own.i < shared
+  union all
+  select own.c, own.i + {MAX_SHARED}, own.h, length(own.text) from convs join own on own.c = convs.c where own.i >= shared),
+placed as (select c, h, chars, row_number() over (partition by c order by i) as d from rebuilt),
+seqs as (select c, list(h order by d) as hs, list(chars order by d) as ns from placed group by c),
+paths as (select convs.c, coalesce(hs, []) as hs, coalesce(ns, []) as ns from convs left join seqs on convs.c = seqs.c),
+steps as (
+  select c, d, len(hs) as n, list_aggregate(list_concat(['root'], hs[1 : d]), 'string_agg', '/') as k,
+    case when d > 0 then list_aggregate(list_concat(['root'], hs[1 : d - 1]), 'string_agg', '/') end as up,
+    case when d > 0 then ns[d] else 0 end as chars
+  from (select *, unnest(range(len(hs) + 1)) as d from paths)),
+nodes as (
+  select k, any_value(up) as up, any_value(d) as depth, min(c) as conv, count(*) as n, any_value(chars) as chars,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (d = steps.n), '')) as ends
+  from steps group by k),
+kids as (select up, count(*) as n_children from nodes where up is not null group by up),
+facts as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids on kids.up = nodes.k),
+above as (
+  select distinct k, list_aggregate(list_concat(['root'], hs[1 : e]), 'string_agg', '/') as top
+  from (select steps.k, paths.hs, unnest(range(steps.d + 1)) as e from steps join paths on paths.c = steps.c)),
+sums as (
+  select top, sum((n_children = 0)::int) as n_leaves, sum((n - 1) * chars) as saved
+  from above join facts using (k) group by top)
+select f.conv as conv_id, cast(f.depth as bigint) as depth, p.conv as parent_conv_id, f.n as n_convs,
+  cast(f.n_children as bigint) as n_children, cast(n_leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens,
+  f.ends as ends_sha256
+from facts f join sums on sums.top = f.k left join nodes p on p.k = f.up
+"""
+
+OP13 = f"""
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= {COSINE}),
+reach as (select a as x, b as y from links union select x, b from reach join links on a = y)
+select e.vec_id, (select count(*) from links where a = e.vec_id) as n_links,
+  least(e.vec_id, coalesce((select min(y) from reach where x = e.vec_id), e.vec_id)) as component_id,
+  e.vec_id <= coalesce((select min(y) from reach where x = e.vec_id), e.vec_id) as kept
+from embeddings e
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1,
     "op2_quality_rules": OP2,
     "op6_url_filters": OP6,
     "op8_language_id": OP8,
     "op9_decontamination": OP9,
+    "op11_importance_resampling": OP11,
+    "op12_prefix_trie": OP12,
+    "op13_embedding_dedup": OP13,
 }

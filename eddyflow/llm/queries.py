@@ -11,7 +11,10 @@ from .decontam import contaminated_pairs
 from .langid import identify
 from .ngramlm import fit_and_score
 from .packing import pack_documents
+from .prefixtrie import conversation_trie
 from .quality import judge_quality
+from .resample import resample
+from .rpforest import near_vectors
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .tokens import tokenised
@@ -61,6 +64,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -72,4 +87,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }

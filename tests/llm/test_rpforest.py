@@ -1,0 +1,123 @@
+import numpy as np
+import pytest
+
+from eddyflow.llm import rpforest
+from eddyflow.llm.rpforest import compare_leaf, fit_forest, near_vectors, vectors
+
+SCHEMA = "vec_id long, embedding array<float>, label int, point string, h1 int, row int"
+
+
+def frame(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 0, "x", 1, 2)
+                                  for i, v in rows], SCHEMA.replace("float", kind))
+
+
+def plain(rows, cosine=0.95):
+    """(id, links, component, kept) by all pairs; ids are distinct here."""
+    units = {}
+    for k, (_, v) in enumerate(rows):
+        if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            u = np.array(v, np.float64)
+            u = u / np.abs(u).max()
+            units[k] = u / np.linalg.norm(u)
+    links = {k: set() for k in range(len(rows))}
+    for k, u in units.items():
+        for m, w in units.items():
+            if k < m and len(u) == len(w) and u @ w >= cosine:
+                links[k].add(m)
+                links[m].add(k)
+    least = {k: rows[k][0] for k in links}
+    changed = True
+    while changed:
+        changed = False
+        for k, v in links.items():
+            low = min([least[k], *(least[m] for m in v)])
+            changed, least[k] = changed or low < least[k], low
+    return sorted((rows[k][0], len(links[k]), least[k], least[k] == rows[k][0]) for k in links)
+
+
+def run(df, **kwargs):
+    out = near_vectors(df, **kwargs).select("vec_id", "n_links", "component_id", "kept")
+    return sorted(tuple(r) for r in out.collect())
+
+
+def clustered(rng, n, dim, groups, size, noise):
+    rows = [rng.standard_normal(dim) for _ in range(n)]
+    for _ in range(groups):
+        c = rng.standard_normal(dim)
+        rows += [c + noise * rng.standard_normal(dim) for _ in range(size)]
+    return [np.float32(r).tolist() for r in rows]
+
+
+def test_invalid_vectors_copies_and_lengths(spark):
+    rng = np.random.default_rng(1)
+    vecs = clustered(rng, 40, 8, 5, 4, 0.15)
+    vecs += [vecs[0]] * 30 + [[2 * x for x in vecs[1]], [-x for x in vecs[2]], vecs[3][:7], vecs[3][:7] + [0.0]]
+    vecs += [None, [], [0.0] * 8, [-0.0] * 8, [1.0, None] + [0.0] * 6, [float("nan")] * 8, [float("inf")] + [1.0] * 7]
+    vecs += [[1e30] * 8, [1e-30] * 8, [0.0, 1.0], [-0.0, 1.0]]
+    rows = list(zip(rng.permutation(1000)[:len(vecs)].tolist(), vecs))
+    assert run(frame(spark, rows)) == plain(rows)
+
+
+@pytest.mark.parametrize("kwargs", [
+    dict(leaf=64, trees=8), dict(leaf=64, trees=8, sample=200, node_sample=150)])
+def test_forest_finds_the_pairs(spark, kwargs):
+    rng = np.random.default_rng(2)
+    vecs = clustered(rng, 1500, 16, 150, 4, 0.12)
+    rows = list(enumerate(vecs))
+    got, want = run(frame(spark, rows), **kwargs), plain(rows)
+    assert all(g[1] <= w[1] for g, w in zip(got, want))
+    assert sum(g[1] for g in got) >= 0.97 * sum(w[1] for w in want) > 500
+
+
+def test_dense_group_is_dealt_in_tiles(spark):
+    rng = np.random.default_rng(3)
+    rows = list(enumerate(clustered(rng, 30, 16, 1, 700, 0.05)))
+    df = frame(spark, rows)
+    forest = fit_forest(vectors(df, "vec_id", "embedding").where("fits"), leaf=100, trees=3)
+    assert max(forest.tiles.values()) >= 5
+    assert run(df, leaf=100, trees=3) == plain(rows)
+
+
+def test_pairs_at_the_limit_are_verified(spark):
+    # Cosines within rounding of the limit, on either side.
+    rows = []
+    for k in range(60):
+        c = 0.95 + (k - 30) * 1e-7
+        base = np.zeros(130)
+        base[2 * k], other = 1.0, np.zeros(130)
+        other[2 * k], other[2 * k + 1] = c, np.sqrt(1 - c * c)
+        rows += [(2 * k, base.tolist()), (2 * k + 1, other.tolist())]
+    got = run(frame(spark, rows, "double"))
+    assert got == plain(rows) and 0 < sum(g[1] for g in got) < 120
+
+
+def test_pairs_are_counted_in_one_leaf_only():
+    rng = np.random.default_rng(4)
+    v = rpforest.unit(np.tile(rng.standard_normal(8), (3, 1)) + 0.01 * rng.standard_normal((3, 8)))
+
+    def body(i, leaves):
+        head = np.zeros(1, rpforest.HEAD)
+        scale = np.float32(np.abs(v[i]).max() / 32767)
+        head["point"], head["h1"], head["weight"], head["scale"] = i, i, 10 ** i, scale
+        head["dim"], head["n_leaves"] = 8, len(leaves)
+        return head.tobytes() + np.array(leaves, "<i8").tobytes() + np.rint(v[i] / scale).astype("<i2").tobytes()
+
+    held = [body(0, [5, 9]), body(1, [5, 9]), body(2, [9])]
+    first, _ = compare_leaf(5, 0, 0, held[:2], 0.95)
+    second, _ = compare_leaf(9, 0, 0, held, 0.95)
+    assert [r[2] for r in first] == [10, 1] and [r[2] for r in second] == [100, 100, 11]
+    assert {r[3] for r in second} == {0}
+
+
+def test_repeated_null_and_missing_ids(spark):
+    v, w = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(5, v), (5, v), (5, w), (9, w), (None, v), (None, [0.0, 0.0, 1.0])]
+    got = near_vectors(frame(spark, rows)).collect()
+    assert sorted((str(r["vec_id"]), r["n_links"], r["component_id"], r["kept"]) for r in got) == [
+        ("5", 1, 5, True), ("5", 2, 5, True), ("5", 2, 5, True), ("9", 1, 5, False), ("None", 0, None, True),
+        ("None", 2, 5, False)]
+
+
+def test_empty_table(spark):
+    assert near_vectors(frame(spark, [])).count() == 0
