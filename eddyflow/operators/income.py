@@ -1,7 +1,8 @@
 """Income metrics of order lines: total, per category, per province.
 
-Prices are summed as decimals with eight digits after the point and returned as
-double: the same whatever the order of addition (the original adds doubles).
+Prices may be any double.  They are summed exactly (``functions.exactsum``) and the
+sum is rounded once: the same whatever the order of addition, and what the
+original's additions come to but for their rounding errors.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SUM_TYPE, money, money_sum
+from ..functions.exactsum import UNITS_TYPE, exact_parts, exact_totals
 
 # Fixed key of the grand total in the metric store (value of the original).
 TOTAL_INCOME_KEY = "TOTAL_INCOME"
@@ -21,12 +22,13 @@ METRIC_PROVINCE = "province"
 
 def total_income(lines: DataFrame, price: str = "price") -> DataFrame:
     """One row ``total_income`` (null over no lines)."""
-    return lines.agg(money_sum(price).alias("total_income"))
+    return exact_totals(exact_parts(lines, [], price), [], "total_income")
 
 
 def income_by(lines: DataFrame, key: str, price: str = "price", out: str = "income") -> DataFrame:
     """``key, income``; partial sums are combined on the map side."""
-    return lines.groupBy(key).agg(money_sum(price).alias(out))
+    parts = exact_parts(lines, [key], price)
+    return exact_totals(parts, [key], out)
 
 
 def income_by_category(lines: DataFrame) -> DataFrame:
@@ -38,27 +40,24 @@ def income_by_province(lines_with_province: DataFrame) -> DataFrame:
 
 
 def metric_deltas(lines_with_province: DataFrame, price: str = "price") -> DataFrame:
-    """All three metrics in one pass: ``metric, key, delta decimal``.
+    """All three metrics in one pass: ``metric, key, exponent, units``.
 
     Prices are summed once per (category, province), combined on the map side;
     GROUPING SETS ((), (category), (province)) then adds up those few sums, so
     the rows that it expands do not grow with the input.  ``grouping_id`` names
     the metric.  Over no input it gives no row, so an empty batch adds nothing.
     """
-    cells = lines_with_province.groupBy("category", "province").agg(F.sum(money(price)).alias("cell"))
-    agg = (cells.groupingSets([[], ["category"], ["province"]], "category", "province")
-           .agg(F.sum("cell").alias("delta"), F.grouping_id().alias("_gid")))
-    metric = (F.when(F.col("_gid") == 3, F.lit(METRIC_TOTAL))
-              .when(F.col("_gid") == 1, F.lit(METRIC_CATEGORY))
+    cells = exact_parts(lines_with_province, ["category", "province"], price)
+    sets = [["exponent"], ["category", "exponent"], ["province", "exponent"]]
+    agg = (cells.groupingSets(sets, "category", "province", "exponent")
+           .agg(F.sum("units").alias("units"), F.grouping("category").alias("_c"), F.grouping("province").alias("_p")))
+    is_total, is_category = (F.col("_c") == 1) & (F.col("_p") == 1), F.col("_c") == 0
+    metric = (F.when(is_total, F.lit(METRIC_TOTAL)).when(is_category, F.lit(METRIC_CATEGORY))
               .otherwise(F.lit(METRIC_PROVINCE)))
-    key = (F.when(F.col("_gid") == 3, F.lit(TOTAL_INCOME_KEY))
-           .when(F.col("_gid") == 1, F.col("category"))
-           .otherwise(F.col("province")))
-    return agg.select(metric.alias("metric"), key.alias("key"),
-                      F.col("delta").cast(SUM_TYPE).alias("delta"))
+    key = F.when(is_total, F.lit(TOTAL_INCOME_KEY)).when(is_category, F.col("category")).otherwise(F.col("province"))
+    return agg.select(metric.alias("metric"), key.alias("key"), "exponent", F.col("units").cast(UNITS_TYPE).alias("units"))
 
 
 def metrics_one_pass(lines_with_province: DataFrame) -> DataFrame:
     """``metric, key, income`` (double) for one batch or a bounded table."""
-    return (metric_deltas(lines_with_province)
-            .select("metric", "key", F.col("delta").cast("double").alias("income")))
+    return exact_totals(metric_deltas(lines_with_province), ["metric", "key"], "income")

@@ -56,7 +56,9 @@ _ZONED = f"""
     FROM parsed p LEFT JOIN rules r ON p.ip_num BETWEEN r.start_num AND r.end_num)
 """
 
-_MONEY = "CAST(SUM(CAST(price AS DECIMAL(28,8))) AS DOUBLE)"
+# The exact sum of doubles between 2^-8 and 2^40 or so, as an integer of 2^-60, rounded once.
+_UNIT = "1152921504606846976::DOUBLE"
+_MONEY = f"CAST(CAST(SUM(CAST(price * {_UNIT} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {_UNIT}"
 
 _METRICS = f"""
   {_ZONED}
@@ -99,13 +101,30 @@ def oracle_queries() -> dict[str, str]:
                    CAST(MAX(l_orderkey * 16 + l_linenumber) + 1 AS DOUBLE)
             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
             GROUP BY l_orderkey % 4""",
-        "metric_store_scan": f"SELECT key, CAST(SUM(CAST(income AS DECIMAL(28,8))) AS DOUBLE) AS value FROM ({_METRICS}) m GROUP BY key",
+        "metric_store_scan": f"""
+            {_ZONED}
+            SELECT key, {_MONEY} AS value FROM (
+              SELECT 'TOTAL_INCOME' AS key, price FROM zoned UNION ALL SELECT category, price FROM zoned
+              UNION ALL SELECT province, price FROM zoned) f GROUP BY key""",
+        "order_income_wide": f"""
+            SELECT CAST(p_size AS VARCHAR) AS category,
+              CASE WHEN p_size = 50 OR p_size = 48 AND COUNT(DISTINCT same) = 2 THEN 'NaN'::DOUBLE
+                WHEN p_size = 49 OR p_size = 48 AND bool_or(same) THEN 'Infinity'::DOUBLE
+                WHEN p_size = 48 THEN '-Infinity'::DOUBLE
+                ELSE {_MONEY} * pow(2::DOUBLE, (p_size - 25) * 40) END AS income
+            FROM (SELECT p_size, l_extendedprice AS price, l_partkey % 2 = l_orderkey % 2 AS same FROM lineitem JOIN part ON l_partkey = p_partkey
+                  WHERE l_orderkey IN (SELECT o_orderkey FROM orders)) x
+            GROUP BY p_size""",
         "ip_to_number": f"""
             SELECT c_custkey, {_ip_text('c_custkey')} AS ip, {_ip_num('c_custkey')} AS ip_num FROM customer""",
         "ip_zone_lookup": f"""
             WITH {_RULES}
             SELECT c.c_custkey, {_ip_text('c.c_custkey')} AS ip, coalesce(r.province, '') AS province
             FROM customer c LEFT JOIN rules r ON {_ip_num('c.c_custkey')} BETWEEN r.start_num AND r.end_num""",
+        "ip_wide_zone_lookup": f"""
+            WITH {_RULES}
+            SELECT c.c_custkey, {_ip_num('c.c_custkey')} << 30 AS number, coalesce(r.province, '') AS province
+            FROM customer c LEFT JOIN rules r ON {_ip_num('c.c_custkey')} BETWEEN r.start_num AND r.end_num""",
         "ip_point_lookup": f"""
             WITH {_RULES}
             SELECT s.s_suppkey, {_ip_text('s.s_suppkey')} AS ip, r.province

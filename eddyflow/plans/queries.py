@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ip import ip_to_number
-from ..functions.orderline import parse_order_lines
+from ..functions.orderline import parse_order_lines, split_rejects
 from ..operators.income import (income_by_category, income_by_province, metric_deltas,
                                 metrics_one_pass, total_income)
 from ..operators.metrics import flat_view
@@ -25,8 +25,9 @@ from ..session import default_parallelism, shared_path
 from ..sinks.console import record_lines
 from ..sinks.tables import append_table
 from ..sources.messages import messages_for_rows
-from ..sources.orderlog import buyer_ip, order_log_from_tables
-from ..sources.records import records_from_events, records_from_order_log
+from ..sources.orderlog import buyer_ip, order_log_from_tables, wide_order_log
+from ..sources.recordlog import resumed, write_record_log
+from ..sources.records import EVENT_PARTITIONS, RECORD_SCHEMA, records_from_events, records_from_order_log
 from ..sources.rules import parse_rule_lines, rule_lines_from_nations
 from ..sources.tables import read_table
 from ..streaming.ledger import metric_ledger, offset_ledger
@@ -34,7 +35,7 @@ from ..streaming.offsets import start_offset_ledger
 from ..streaming.orders import (OrderMetricsBatch, lines_with_province, order_totals, start_order_metrics,
                                 stored_offsets)
 from ..streaming.runner import run_to_end
-from ..streaming.staging import BATCH_BYTES, stream_lines, stream_table
+from ..streaming.staging import stream_folder, stream_lines, stream_table
 from ..streaming.wordcount import (per_key_counts, running_counts, start_per_batch_word_count,
                                    start_running_word_count)
 
@@ -42,6 +43,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 # Consumer group under which the event record log is tracked.
 EVENTS_GROUP = "eddy-events"
+# Segments of a partition of the order log, as the registered queries lay it out.
+LOG_SEGMENTS = 8
+# Registered streams fold their ledgers after this many batches.
+FOLD_EVERY = 2
 # Job names in the ledgers.
 ORDERS = "orders"
 
@@ -71,15 +76,15 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------- word counts
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(read_table(spark, sf_dir, "documents", "text", spread_by="doc_id"))
+    return word_count(read_table(spark, sf_dir, "documents", "text", spread=True))
 
 
 def q_word_count_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_words(word_count(read_table(spark, sf_dir, "documents", "text", spread_by="doc_id")), 10)
+    return top_words(word_count(read_table(spark, sf_dir, "documents", "text", spread=True)), 10)
 
 
 def q_word_count_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sorted_word_count(word_count(read_table(spark, sf_dir, "documents", "text", spread_by="doc_id")))
+    return sorted_word_count(word_count(read_table(spark, sf_dir, "documents", "text", spread=True)))
 
 
 def q_word_count_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +105,7 @@ def q_word_count_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = stream_table(spark, sf_dir, "conversations").select(
         F.col("turn").cast("bigint").alias("turn"), F.col("text").alias("value"))
     run_to_end(start_per_batch_word_count(stream, f"{base}/out", f"{base}/ckpt", "value", "available_now",
-                                          keys=("turn",)))
+                                          keys=("turn",), fold_every=FOLD_EVERY))
     counts = per_key_counts(spark, f"{base}/out", "turn bigint")
     order = with_global_position(counts.select("turn").distinct(), [F.col("turn")])
     return counts.join(order, "turn").select((F.col("position") - 1).cast("bigint").alias("batch_id"), "word", "cnt")
@@ -112,7 +117,7 @@ def q_word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_path(spark, "running")
     stream = stream_table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
     run_to_end(start_running_word_count(stream, f"{base}/out", f"{base}/ckpt", "value", "available_now",
-                                        state_partitions=default_parallelism(spark)))
+                                        state_partitions=default_parallelism(spark), fold_every=FOLD_EVERY))
     return running_counts(spark, f"{base}/out")
 
 
@@ -130,6 +135,15 @@ def q_order_income_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return income_by_category(order_lines(spark, sf_dir))
 
 
+def q_order_income_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Income per part size of prices over the whole range of doubles: each size
+    moves its prices by 40 bits, from 2^-960 to 2^880; sizes 48 to 50 hold infinities
+    of both signs, of one sign, and a NaN.  Lines that are no order lines go aside."""
+    prices = wide_order_log(spark, sf_dir)
+    good, _ = split_rejects(parse_order_lines(prices, strict=False))
+    return income_by_category(good)
+
+
 def q_order_income_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return income_by_province(lines_with_province(order_lines(spark, sf_dir), rule_table(spark, sf_dir)))
 
@@ -144,7 +158,7 @@ def q_order_running_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_path(spark, "orders")
     stream = stream_lines(spark, order_log_from_tables(spark, sf_dir), f"{base}/log")
     rules = rule_table(spark, sf_dir, persist=True)
-    job = OrderMetricsBatch(rules, f"{base}/ledger", query=ORDERS)
+    job = OrderMetricsBatch(rules, f"{base}/ledger", query=ORDERS, fold_every=FOLD_EVERY)
     try:
         query = run_to_end(start_order_metrics(stream, job, f"{base}/ckpt", "available_now"))
     finally:
@@ -156,26 +170,29 @@ def q_order_running_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_order_resume_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A record job that stops and is resumed from its stored offsets with a new
-    checkpoint.  The first run sees the first half of every partition but the
-    last one, which it does not see at all; the second run reads, from the whole
-    log, what the ledger has not.  Totals of the metrics, and per partition the
-    offset to go on from."""
+    checkpoint.  The log lies in segments; the first run sees the first half of
+    every partition but the last one, which it does not see at all; the second run
+    opens only the segments that the ledger does not cover.  Totals of the metrics,
+    and per partition the offset to go on from."""
     base = shared_path(spark, "resume")
     log, metrics, offsets = f"{base}/log", f"{base}/metrics", f"{base}/offsets"
-    records_from_order_log(order_log_from_tables(spark, sf_dir, keep=("l_orderkey", "l_linenumber"))).write.parquet(log)
-    written = spark.read.parquet(log)
+    records = records_from_order_log(order_log_from_tables(spark, sf_dir, keep=("l_orderkey", "l_linenumber")))
+    keys = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber").agg(
+        F.max(F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("end")).first()
+    last = keys["end"] or 0
+    segment = max(1, last // LOG_SEGMENTS)
+    write_record_log(records, log, segment)
     rules = rule_table(spark, sf_dir, persist=True)
-    job = OrderMetricsBatch(rules, metrics, ORDERS, offset_ledger=offsets, group_id=ORDERS)
+    job = OrderMetricsBatch(rules, metrics, ORDERS, offset_ledger=offsets, group_id=ORDERS, fold_every=FOLD_EVERY)
 
     def run(name: str, wanted: Callable[[DataFrame], DataFrame]) -> None:
-        stream = (spark.readStream.schema(written.schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(log))
+        stream = stream_folder(spark, log, f"{RECORD_SCHEMA}, segment bigint")
         run_to_end(start_order_metrics(wanted(stream), job, f"{base}/{name}", "available_now"))
 
     try:
-        bounds = written.agg((F.max("offset") / 2).cast("bigint").alias("cut"), F.max("partition").alias("last"))
-        run("first", lambda s: s.join(F.broadcast(bounds), (F.col("offset") < F.col("cut"))
-                                      & (F.col("partition") < F.col("last"))).drop("cut", "last"))
-        run("second", lambda s: unconsumed(s, stored_offsets(spark, offsets, ORDERS)))
+        run("first", lambda s: s.where((F.col("segment") <= last // 2 // segment) & (F.col("offset") < last // 2)
+                                       & (F.col("partition") < EVENT_PARTITIONS - 1)).drop("segment"))
+        run("second", lambda s: resumed(s, stored_offsets(spark, offsets, ORDERS), segment))
     finally:
         rules.release()
     totals = order_totals(spark, metrics, ORDERS, offsets, ORDERS).select("metric", "key", F.col("income").alias("value"))
@@ -208,6 +225,19 @@ def q_ip_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoned.select("c_custkey", "ip", F.coalesce(F.col("province"), F.lit("")).alias("province"))
 
 
+def q_ip_wide_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone lookup moved up by 30 bits: rules wider than any bucket table, so
+    they are swept."""
+    cust = read_table(spark, sf_dir, "customer", "c_custkey").select(
+        "c_custkey", buyer_ip(F.col("c_custkey")).alias("ip"))
+    number = F.shiftleft(ip_to_number(F.col("ip")), 30)
+    rules = ip_rules(spark, sf_dir).select(
+        F.shiftleft("start_num", 30).alias("start_num"),
+        (F.shiftleft(F.col("end_num") + 1, 30) - 1).alias("end_num"), "province")
+    zoned = range_lookup(cust.withColumn("number", number), F.col("number"), prepare_ranges(rules), how="left")
+    return zoned.select("c_custkey", "number", F.coalesce("province", F.lit("")).alias("province"))
+
+
 def q_ip_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each supplier address looked up on its own: only addresses a rule
     holds get a province (the single-address lookup has no default)."""
@@ -224,7 +254,8 @@ def q_offset_ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows; latest end per partition."""
     base = shared_path(spark, "offsets")
     stream = records_from_events(stream_table(spark, sf_dir, "events"))
-    run_to_end(start_offset_ledger(stream, f"{base}/ledger", EVENTS_GROUP, f"{base}/ckpt", "available_now"))
+    run_to_end(start_offset_ledger(stream, f"{base}/ledger", EVENTS_GROUP, f"{base}/ckpt", "available_now",
+                                   fold_every=FOLD_EVERY))
     return stored_offsets(spark, f"{base}/ledger", EVENTS_GROUP).select("groupid", "topic", "partitioner", "offset")
 
 
@@ -270,6 +301,7 @@ QUERIES: dict[str, QueryFn] = {
     "order_lines_parsed": q_order_lines_parsed,
     "order_total_income": q_order_total_income,
     "order_income_by_category": q_order_income_by_category,
+    "order_income_wide": q_order_income_wide,
     "order_income_by_zone": q_order_income_by_zone,
     "order_metrics_one_pass": q_order_metrics_one_pass,
     "order_running_metrics": q_order_running_metrics,
@@ -277,6 +309,7 @@ QUERIES: dict[str, QueryFn] = {
     "metric_store_scan": q_metric_store_scan,
     "ip_to_number": q_ip_to_number,
     "ip_zone_lookup": q_ip_zone_lookup,
+    "ip_wide_zone_lookup": q_ip_wide_zone_lookup,
     "ip_point_lookup": q_ip_point_lookup,
     "offset_ledger_latest": q_offset_ledger_latest,
     "offset_resume": q_offset_resume,

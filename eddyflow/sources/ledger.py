@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 OFFSET_LEDGER_SCHEMA = "groupid string, topic string, partitioner int, offset bigint, run string, batch_id bigint"
-METRIC_LEDGER_SCHEMA = "metric string, key string, delta decimal(38,8), query string, run string, batch_id bigint"
+METRIC_LEDGER_SCHEMA = ("metric string, key string, exponent int, units decimal(38,0), query string, run string, "
+                        "batch_id bigint")
 
 
 def read_offset_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -22,6 +23,6 @@ def read_offset_ledger_jdbc(spark: SparkSession, url: str, table: str = "Offset"
 
 
 def read_metric_store(spark: SparkSession, path: str) -> DataFrame:
-    """``metric, key, delta`` rows of the metric ledger that are not folded yet
+    """``metric, key, exponent, units`` rows of the metric ledger that are not folded yet
     (``streaming.ledger`` reads all)."""
     return spark.read.schema(METRIC_LEDGER_SCHEMA).parquet(path)

@@ -8,26 +8,23 @@ from ..session import default_parallelism
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
-               spread_by: str | None = None) -> DataFrame:
+               spread: bool = False) -> DataFrame:
     """``<sf_dir>/<name>.parquet``; naming ``columns`` makes the projection
     explicit (Catalyst would prune anyway, this keeps the plan obvious).
 
-    ``spread_by`` (a key column) is for tables with heavy per-row work: see
-    ``spread_small``; the key is dropped unless it is among ``columns``.
+    ``spread`` is for tables with heavy per-row work: see ``spread_small``.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread_by:
-        df = df.select(spread_by, *[c for c in columns if c != spread_by]) if columns else df
-        df = spread_small(df, spread_by)
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_small(df) if spread else df
 
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
+def spread_small(df: DataFrame) -> DataFrame:
     """Deal the rows of a table that cannot fill the cluster's cores by itself
     (less than a full scan split a core, as planned: no job is run) over them,
-    by its key.  Larger tables are returned as they are, with no shuffle."""
+    row by row.  Larger tables are returned as they are, with no shuffle."""
     spark = df.sparkSession
     cores = default_parallelism(spark)
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     planned = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores, key) if planned < cores * split else df
+    return df.repartition(cores) if planned < cores * split else df

@@ -20,6 +20,13 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(files, bytes) under ``path``."""
+    p, fs = _open(spark, path)
+    found = fs.getContentSummary(p)
+    return found.getFileCount(), found.getLength()
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path`` (none if it is missing)."""
     p, fs = _open(spark, path)

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exactsum import UNITS_TYPE
 from ..sinks.tables import overwrite_partitions
 from ..storage import drop_folder, exists, folder_names
 
@@ -157,7 +158,9 @@ class Ledger:
 
 
 def metric_ledger(path: str) -> Ledger:
-    return Ledger(path, (("metric", "string"), ("key", "string")), ("delta", "decimal(38,8)"), "sum", "query")
+    """Parts of exact sums per metric and key (``functions.exactsum``)."""
+    return Ledger(path, (("metric", "string"), ("key", "string"), ("exponent", "int")), ("units", UNITS_TYPE), "sum",
+                  "query")
 
 
 def offset_ledger(path: str) -> Ledger:

@@ -27,7 +27,7 @@ class OffsetLedgerBatch:
 
 
 def start_offset_ledger(records: DataFrame, ledger: str, group_id: str, checkpoint: str,
-                        trigger: str | None = None) -> StreamingQuery:
-    writer = (records.writeStream.foreachBatch(OffsetLedgerBatch(ledger, group_id))
+                        trigger: str | None = None, fold_every: int = FOLD_EVERY) -> StreamingQuery:
+    writer = (records.writeStream.foreachBatch(OffsetLedgerBatch(ledger, group_id, fold_every))
               .option("checkpointLocation", checkpoint))
     return with_trigger(writer, trigger).start()

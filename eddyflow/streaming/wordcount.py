@@ -48,8 +48,9 @@ class PerBatchWordCount:
 
 def start_per_batch_word_count(stream: DataFrame, out_path: str, checkpoint: str,
                                text_col: str = "value", trigger: str | None = None,
-                               name: str | None = None, keys: tuple[str, ...] = ()) -> StreamingQuery:
-    writer = (stream.writeStream.foreachBatch(PerBatchWordCount(out_path, text_col, keys))
+                               name: str | None = None, keys: tuple[str, ...] = (),
+                               fold_every: int = FOLD_EVERY) -> StreamingQuery:
+    writer = (stream.writeStream.foreachBatch(PerBatchWordCount(out_path, text_col, keys, fold_every))
               .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)

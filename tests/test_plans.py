@@ -51,7 +51,7 @@ def test_word_count_combines_before_shuffle(spark):
 
 def test_metrics_single_aggregate(spark):
     plan = _plan(entry.queries()["order_metrics_one_pass"](spark, SF))
-    assert "Expand" in plan and plan.count("partial_sum") == 2
+    assert "Expand" in plan and plan.count("partial_sum") == 2 and "ArrowEvalPython" in plan
     assert "BroadcastHashJoin" in plan
 
 

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eddyflow.functions import ip_to_number
@@ -155,3 +157,74 @@ def test_bad_rules_go_to_rejects(spark, tmp_path):
     good, bad = read_ip_rules_with_rejects(spark, str(tmp_path / "rules.txt"))
     assert [tuple(r) for r in good.collect()] == [(268435456, 318767103, "A")]
     assert sorted(r["line"] for r in bad.collect()) == ["1|2|3", "a|b|x|2|c|d|P"]
+
+
+# Rules wider than any bucket table: swept.
+
+LOW, HIGH = -(2**63) + 2, 2**63 - 1
+
+
+def _by_hand(rules, points):
+    return {i: next((n for s, e, n in rules if p is not None and s <= p <= e), None) for i, p in enumerate(points)}
+
+
+def _swept(spark, rules, points, how="left", **kw):
+    rdf = spark.createDataFrame(rules, "start_num bigint, end_num bigint, province string")
+    pdf = spark.createDataFrame(list(enumerate(points)), "id int, p bigint")
+    table = prepare_ranges(rdf, **kw)
+    assert table.bucket_bits is None
+    return range_lookup(pdf, F.col("p"), table, how=how).select("id", "province")
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.sets(st.integers(LOW, HIGH), min_size=2, max_size=40), st.lists(st.integers(LOW, HIGH) | st.none(), max_size=30))
+def test_rules_of_any_width_match_brute_force(spark, ends, points):
+    ends = sorted(ends)
+    rules = [(a, b, f"r{a}") for a, b in zip(ends[::2], ends[1::2])]
+    points = points + [p + d for s, e, _ in rules for p in (s, e) for d in (-1, 0, 1) if LOW <= p + d <= HIGH]
+    got = {r["id"]: r["province"] for r in _swept(spark, rules, points, max_buckets=0).collect()}
+    assert got == _by_hand(rules, points)
+
+
+def test_wide_rules_are_swept_without_being_asked(spark):
+    rules = [(0, 2**62, "wide"), (2**62 + 1, HIGH, "rest")]
+    points = [0, 2**62, 2**62 + 1, HIGH, -1, None, 5]
+    got = {r["id"]: r["province"] for r in _swept(spark, rules, points, "left").collect()}
+    assert got == _by_hand(rules, points)
+    inner = {r["id"]: r["province"] for r in _swept(spark, rules, points, "inner").collect()}
+    assert inner == {i: p for i, p in _by_hand(rules, points).items() if p}
+
+
+def test_a_hot_point_is_dealt_over_sub_cells(spark):
+    rules = [(i * 2**50, i * 2**50 + 2**49, f"r{i}") for i in range(300)]
+    points = [7 * 2**50 + 5] * 4000 + [i * 2**49 for i in range(600)]
+    out = _swept(spark, rules, points)
+    assert {r["id"]: r["province"] for r in out.collect()} == _by_hand(rules, points)
+    plan = out._jdf.queryExecution().optimizedPlan()
+    assert "Join" not in plan.toString()
+    sizes = (out.groupBy("province").count().collect())
+    assert max(r["count"] for r in sizes) >= 4000
+
+
+def test_sweep_equals_buckets(spark, rules):
+    points = [ip for ip, _ in EDGE_CASES]
+    df = spark.createDataFrame([(p,) for p in points], "ip string")
+    look = lambda t: {tuple(r) for r in range_lookup(df, ip_to_number(F.col("ip")), t).collect()}
+    assert look(prepare_ranges(rules)) == look(prepare_ranges(rules, max_buckets=0))
+
+
+def test_overlap_of_wide_rules_is_rejected(spark):
+    df = spark.createDataFrame([(0, 2**62, "a"), (2**61, 2**61 + 5, "b")], "start_num bigint, end_num bigint, province string")
+    with pytest.raises(RangeRuleError, match="overlap"):
+        prepare_ranges(df)
+
+
+def test_many_rules_are_checked_by_cells(spark, monkeypatch):
+    from eddyflow.operators import rangejoin
+    monkeypatch.setattr(rangejoin, "SMALL_BYTES", 0)
+    fine = [(i * 10, i * 10 + 9, str(i)) for i in range(5000)]
+    schema = "start_num bigint, end_num bigint, province string"
+    assert prepare_ranges(spark.createDataFrame(fine, schema)).bucket_bits == 16
+    for bad in [(25_000, 25_000, "x"), (-5, 60_000, "x"), (49_999, 70_000, "x")]:
+        with pytest.raises(RangeRuleError, match="overlap"):
+            prepare_ranges(spark.createDataFrame([*fine, bad], schema))
