@@ -26,11 +26,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import numbered, written
-from .tokens import WordEncoder, slices, vocabulary_path
+from .tokens import slices, vocabulary_path, worker_encoder
 
 WINDOW = 4096
 BINS = 256
@@ -56,7 +57,7 @@ def token_pieces(docs: DataFrame, window: int = WINDOW, vocab: str | None = None
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocab)
+        encoder, number = worker_encoder(vocab), TaskContext.get().partitionId() << 33
         for b, texts in slices(batches, "text"):
             ids, offsets = encoder.encode(texts)
             raw = memoryview(ids.astype("<u4").tobytes())
@@ -69,9 +70,12 @@ def token_pieces(docs: DataFrame, window: int = WINDOW, vocab: str | None = None
             crc = [zlib.crc32(raw[4 * a:4 * (a + k)]) for a, k in zip(at.tolist(), length.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(row)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
-                 pa.array(n[row])], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                 pa.array(n[row]), pa.array(number + np.arange(len(row)))],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"])
+            number += len(row)
 
-    return base.mapInArrow(run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
+    return base.mapInArrow(run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+                          "row bigint")
 
 
 def combinations(bins: int) -> list[tuple[int, ...]]:
@@ -171,7 +175,7 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, bins: int = BINS) -> Da
     plan = spark.createDataFrame(
         plan_packing(histogram, bins) or [Block(0, 0, 0, 0, 1, 0)],
         "b_bin int, low bigint, high bigint, first bigint, repeats bigint, slot bigint")
-    ranked = numbered(binned, ["_bin"], ["doc_id", "start"], "_rank", F.xxhash64("doc_id", "start"))
+    ranked = numbered(binned, ["_bin"], ["row"], "_rank", F.xxhash64("row"))  # rows of one id are dealt too
     # The plan's size is bounded by the number of bins, not by the pieces.
     placed = ranked.join(F.broadcast(plan), (F.col("_bin") == F.col("b_bin")) & (F.col("_rank") >= F.col("low"))
                          & (F.col("_rank") < F.col("high")))

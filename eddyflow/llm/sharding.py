@@ -4,16 +4,17 @@ target bytes.
 Dimensions are metadata of the text alone (bytes, bytes beyond one per
 character, lines), so equal texts have the same coordinates.  A node is split
 along its widest dimension (extent as a share of the whole table's extent) at
-the weighted median of ``(coordinate, text CRC, row hash, doc_id)``; the later
+the weighted median of ``(coordinate, text CRC, row hash, row number)``; the later
 keys only order rows inside a tie, so a group of equal texts stays together
-unless the cut falls inside it.  A cut inside a group is moved to the nearer
+unless the cut falls inside it.  The row number is fixed once the metadata are
+written; it tells equal rows apart, so any group can be cut.  A cut inside a group is moved to the nearer
 edge of the group if that shifts less than ``tolerance`` of the node's bytes;
 a larger group is split, as no other cut keeps the sizes near equal.
 
 The median is found by distributed histograms: every round counts the bytes in
 at most ``BINS`` intervals of every open node's current range and zooms into the
-interval that holds the middle; only those counts reach the driver, however
-many rows there are.
+interval that holds the middle; only those counts reach the driver, and at last
+the keys of at most ``FEW`` rows a node, however many rows there are.
 
 Defined results: a null text has size 1 and CRC 0; all rows are placed, repeated
 rows too (each gets its own slot); an empty table gives an empty result; a table
@@ -30,9 +31,10 @@ from .common import numbered, text_of, written
 
 DIMS = ("d_bytes", "d_wide", "d_lines")
 BINS = 1024
+FEW = 512
+FULL = (0, (1 << 62) - 1)  # keys after the first are not negative
 SHARDS = 8
 TOLERANCE = 0.005
-HASH_MASK = (1 << 62) - 1  # differences of two masked hashes fit a long
 
 
 def metadata(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,7 +42,8 @@ def metadata(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     t = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     size = F.octet_length("text").cast("long")
     return t.select("doc_id", (size + 1).alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-                    F.xxhash64("doc_id", "text").bitwiseAND(F.lit(HASH_MASK)).alias("row_hash"), (size + 1).alias("d_bytes"),
+                    F.xxhash64("doc_id", "text").bitwiseAND(F.lit(FULL[1])).alias("row_hash"),
+                    F.monotonically_increasing_id().alias("row"), (size + 1).alias("d_bytes"),
                     (size - F.char_length("text")).cast("long").alias("d_wide"),
                     (size - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))).cast("long")
                     .alias("d_lines"))
@@ -61,34 +64,54 @@ def _at_most(keys: list[str], cut: dict[int, list[int]], strict: bool = False) -
     return cond
 
 
-def _middle(rows: DataFrame, keys: list[str], goals: dict[int, float]) -> dict[int, list[int]]:
+def _middle(rows: DataFrame, keys: list[str], goals: dict[int, float], span: dict[int, tuple[int, int]]
+            ) -> dict[int, list[int]]:
     """Per node the smallest key tuple at which the running bytes reach the
-    goal, key by key: a row is left of the cut if its tuple is not above it."""
-    found: dict[int, list[int]] = {n: [] for n in goals}
+    goal: a row is left of the cut if its tuple is not above it.  ``span``: the
+    first key's range.  Each round counts the bytes of every open node in ``BINS``
+    intervals of its current key, and zooms into the one with the middle; an
+    interval of one value goes on with the next key, and one of ``FEW`` rows is
+    finished from those rows."""
+    fixed: dict[int, list[int]] = {n: [] for n in goals}
     below = {n: 0.0 for n in goals}
-    for i, key in enumerate(keys):
-        inside = rows.where(F.col("node").isin(list(goals)))
-        for j in range(i):
-            inside = inside.where(F.col(keys[j]) == _per_node({n: f[j] for n, f in found.items()}))
-        span = {r["node"]: (r["lo"], r["hi"]) for r in inside.groupBy("node").agg(
-            F.min(key).alias("lo"), F.max(key).alias("hi")).collect()}  # one row per node
-        while open_ := {n: (lo, hi) for n, (lo, hi) in span.items() if lo < hi}:
-            width = {n: -(-(hi - lo + 1) // BINS) for n, (lo, hi) in open_.items()}
-            low = _per_node({n: lo for n, (lo, _) in open_.items()})
-            high = _per_node({n: hi for n, (_, hi) in open_.items()})
-            counts = (inside.withColumn("low", low).withColumn("width", _per_node(width))
-                      .where(F.col(key).between(F.col("low"), high))
-                      .groupBy("node", F.expr(f"({key} - low) div width").alias("bin"))
-                      .agg(F.sum("size").alias("bytes")).collect())  # at most nodes x BINS rows
-            for n, (lo, hi) in open_.items():
-                mine = sorted((r["bin"], r["bytes"]) for r in counts if r["node"] == n)
-                for b, size in mine:
-                    if below[n] + size >= goals[n] or b == mine[-1][0]:
-                        span[n] = (lo + b * width[n], min(hi, lo + (b + 1) * width[n] - 1))
+    found: dict[int, list[int]] = {}
+    while open_ := [n for n in goals if n not in found]:
+        key = F.get(F.array(*keys), _per_node({n: len(fixed[n]) for n in open_}, "int"))
+        inside = rows.where(F.col("node").isin(open_))
+        for j in range(max(len(fixed[n]) for n in open_)):
+            v = _per_node({n: fixed[n][j] for n in open_ if j < len(fixed[n])})
+            inside = inside.where(v.isNull() | (F.col(keys[j]) == v))
+        inside = inside.withColumn("key", key).withColumn("low", _per_node({n: span[n][0] for n in open_}))
+        inside = inside.where(F.col("key").between(F.col("low"), _per_node({n: span[n][1] for n in open_})))
+        width = {n: max(1, -(-(span[n][1] - span[n][0] + 1) // BINS)) for n in open_}
+        counts = (inside.withColumn("width", _per_node(width))
+                  .groupBy("node", F.expr("(key - low) div width").alias("bin"))
+                  .agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"),
+                       F.max("key").alias("hi")).collect())  # at most nodes x BINS rows
+        few = []
+        for n in open_:
+            mine = sorted((r["bin"], r) for r in counts if r["node"] == n)
+            for _, r in mine:
+                if below[n] + r["bytes"] >= goals[n] or r is mine[-1][1]:
+                    break
+                below[n] += r["bytes"]
+            span[n] = (r["lo"], r["hi"])
+            if r["n"] <= FEW:
+                few.append(n)
+            elif r["lo"] == r["hi"]:
+                fixed[n].append(r["lo"])
+                span[n] = FULL
+        if few:
+            here = inside.where(F.col("node").isin(few) & F.col("key").between(
+                _per_node({n: span[n][0] for n in few}), _per_node({n: span[n][1] for n in few})))
+            held = here.select("node", *keys, "size").collect()  # at most nodes x FEW rows
+            for n in few:
+                mine = sorted(tuple(r[k] for k in (*keys, "size")) for r in held if r["node"] == n)
+                for r in mine:
+                    below[n] += r[-1]
+                    if below[n] >= goals[n]:
                         break
-                    below[n] += size
-        for n, (lo, _) in span.items():
-            found[n].append(lo)
+                found[n] = list(r[:-1])
     return found
 
 
@@ -114,7 +137,7 @@ def assign_shards(meta: DataFrame, shards: int = SHARDS, tolerance: float = TOLE
     rows = meta.withColumn("node", F.lit(0))
     whole: dict = {}
     leaves = {0: shards}  # a node is named by its first leaf -> leaves below it
-    keys = ["axis", "text_crc32", "row_hash"]
+    keys = ["axis", "text_crc32", "row_hash", "row"]
     while any(k > 1 for k in leaves.values()):
         stats = {r["node"]: r for r in rows.groupBy("node").agg(
             F.sum("size").alias("bytes"), *[F.min(d).alias(f"lo_{d}") for d in DIMS],
@@ -131,10 +154,11 @@ def assign_shards(meta: DataFrame, shards: int = SHARDS, tolerance: float = TOLE
                                                                / whole[DIMS[i]], -i))
                 goals[n] = s["bytes"] * (k // 2) / k
         rows = rows.withColumn("axis", F.get(F.array(*DIMS), _per_node(axis, "int")))
-        cut = _middle(rows, keys, goals)
+        span = {n: (stats[n][f"lo_{DIMS[i]}"], stats[n][f"hi_{DIMS[i]}"]) for n, i in axis.items()}
+        cut = _middle(rows, keys, goals, span)
         edge = _group_edges(rows, cut, goals, whole["bytes"] / shards * tolerance)
         # At a group's edge the CRC alone decides: -1 or the end of the hashes.
-        last = {n: [*c[:2], {"below": -1, "above": HASH_MASK}.get(edge.get(n), c[2])] for n, c in cut.items()}
+        last = {n: [*c[:2], *{"below": (-1, 0), "above": FULL[1:] * 2}.get(edge.get(n), c[2:])] for n, c in cut.items()}
         step = _per_node({n: leaves[n] // 2 for n in cut}, "int")
         right = F.col("node").isin(list(cut)) & ~_at_most(keys, last)
         rows = written(rows.withColumn("node", F.when(right, F.col("node") + step).otherwise(F.col("node")))
@@ -149,6 +173,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` per row."""
     meta = written(metadata(docs, id_col, text_col), "sharding")
     placed = assign_shards(meta, shards, tolerance)
-    return (numbered(placed, ["shard"], ["row_hash", "doc_id"], "slot", F.col("row_hash"))
+    return (numbered(placed, ["shard"], ["row_hash", "row"], "slot", F.xxhash64("row"))
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot",
                     F.lit(None).cast("int").alias("grown_shard")))

@@ -2,9 +2,9 @@
 
 Encoding: the tokenizer drops white space and no token spans it, so the ids of a
 text are those of its white-space separated words, one after the other.  Each
-task encodes every distinct word once with the tokenizers library and puts texts
-together from those ids; the store of words is emptied when it is full, which
-changes nothing but speed.
+worker process encodes every distinct word once with the tokenizers library and
+puts texts together from those ids; the store of words outlives a task and is
+emptied when it is full, which changes nothing but speed.
 
 Files: one row per document in ascending ``doc_id`` order, columns ``doc_id,
 part, part_start, n_tokens, tokens``; row groups and pages of set size,
@@ -13,13 +13,16 @@ format version 2) and page indexes, so a reader of a few documents or of the
 metadata columns alone touches only their pages.
 
 Defined results: a null or empty text has the end id alone; null ``doc_id`` sorts
-first; repeated rows are kept, one after the other; an empty table gives an
-empty result; extra columns are ignored.
+first; rows of one id follow one another in the table's order; repeated rows are
+kept; very long texts are encoded in pieces; an empty table gives an empty result;
+extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from unicodedata import is_normalized
@@ -36,9 +39,12 @@ from ..session import shared_path
 END_ID = 2
 WORD_END = "</w>"  # the vocabulary's mark of a token that ends a word
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation
+# Kinds of bytes: 1 a letter, 2 a mark, 8 part of a character beyond ASCII, 4 another.
+_KIND = np.array([8 if b >= 0x80 else 1 if chr(b).isalpha() else 2 if chr(b) in MARKS else 4 for b in range(256)], np.uint8)
+_LETTERS_MARKS = re.compile(rb"(?m)^([^\n%s]+)([%s]+)$" % ((re.escape(MARKS.encode()),) * 2))
 SLICE_BYTES = 2 << 20
 PIECE_BYTES = 1 << 20
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 3 << 18
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2000
@@ -95,33 +101,47 @@ class WordEncoder:
         self.starts = np.array([0], dtype=np.int64)
         self.lens = np.array([1], dtype=np.int64)
 
+    def _plain(self, words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """Units of each word that is letters, marks, or letters and then marks;
+        0 for other words (and those with letters beyond ASCII: listed apart)."""
+        flat = _KIND[np.frombuffer(b"".join(words), np.uint8)]
+        ends = np.cumsum([len(w) for w in words])
+        starts = np.concatenate([[0], ends[:-1]])
+        kinds = np.bitwise_or.reduceat(flat, starts)
+        # A letter that follows a mark inside a word.
+        back = np.zeros(len(flat) + 1, np.int64)
+        back[2:] = np.cumsum((flat[1:] == 1) & (flat[:-1] == 2)) if len(flat) > 1 else 0
+        inner = back[ends] - back[starts + 1]
+        units = np.where((kinds <= 3) & (inner == 0), np.where(kinds == 3, 2, 1), 0)
+        return units, np.flatnonzero((kinds & 8) > 0).tolist()
+
     def _learn(self) -> None:
-        words = [w.decode("utf-8", "replace") for w in self.codes.new]
-        self.codes.new = []
-        starts, lens = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        flat, size = [self.flat], len(self.flat)
-        plain, units, shown, single = [], [], [], []
-        for i, w in enumerate(words):
+        """Ids of the words noted as new."""
+        raw, self.codes.new = self.codes.new, []
+        units, beyond = self._plain(raw)
+        words: dict[int, str] = {}
+        for i in beyond:
+            w = words[i] = raw[i].decode("utf-8", "replace")
             stem = w.rstrip(MARKS)
-            if not stem or (stem.isalpha() and (
-                    stem.isascii() or (is_normalized("NFC", stem) and stem == stem.lower()))):
-                both = stem and len(stem) < len(w)
-                plain.append(i)
-                units.append(2 if both else 1)
-                shown.append(f"{stem} {w[len(stem):]}" if both else w)
-            else:
-                single.append(i)
+            if stem.isalpha() and is_normalized("NFC", stem) and stem == stem.lower():
+                units[i] = 2 if len(stem) < len(w) else 1
+        starts, lens = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
+        flat, size = [self.flat], len(self.flat)
+        plain = np.flatnonzero(units)
+        # Letters and the marks after them are shown apart.
+        text = b"\n".join([raw[i] for i in plain.tolist()])
+        shown = _LETTERS_MARKS.sub(rb"\1 \2", text).decode("utf-8").split("\n") if len(plain) else []
         runs = [slice(i, i + 64) for i in range(0, len(plain), 64)]
-        texts = [" ".join(shown[run]) for run in runs]
-        for run, e in zip(runs, self.merges.encode_batch_fast(texts, add_special_tokens=False)):
+        for run, e in zip(runs, self.merges.encode_batch_fast([" ".join(shown[r]) for r in runs], add_special_tokens=False)):
             ids = np.array(e.ids, dtype=np.uint32)
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1)[np.cumsum(units[run]) - 1]
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1)[np.cumsum(units[plain[run]]) - 1]
             starts[plain[run]] = size + np.concatenate([[0], ends[:-1]])
             lens[plain[run]] = np.diff(ends, prepend=0)
             flat.append(ids)
             size += len(ids)
-        for i, e in zip(single, self.tokenizer.encode_batch_fast([words[i] for i in single],
-                                                                 add_special_tokens=False)):
+        single = np.flatnonzero(units == 0).tolist()
+        alone = [words.get(i) or raw[i].decode("utf-8", "replace") for i in single]
+        for i, e in zip(single, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             ids = np.array(e.ids, dtype=np.uint32)
             starts[i], lens[i] = size, len(ids)
             flat.append(ids)
@@ -156,6 +176,15 @@ class WordEncoder:
         return self.flat[where], offsets
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this worker process: tasks that run one after the other in
+    it go on with the words it knows."""
+    kept = sys.modules.setdefault("_eddyflow_worker", types.ModuleType("_eddyflow_worker")).__dict__
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
+
+
 def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
     """A text in runs of about ``size`` bytes, cut at white space."""
     at = 0
@@ -186,12 +215,14 @@ def encode_documents(docs: DataFrame, vocab: str | None = None, id_col: str = "d
     """``doc_id, part, part_start, n_tokens, tokens``, sorted by ``doc_id`` within
     parts and parts ascending."""
     vocab = vocab or vocabulary_path()
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.monotonically_increasing_id().alias("row"))
     kind = base.schema["doc_id"].dataType.simpleString()
-    order = base.repartitionByRange(partitions, "doc_id") if partitions else base.repartitionByRange("doc_id")
+    # The row's place deals rows of one id (or of none) over as many parts as they fill.
+    order = base.repartitionByRange(*([partitions] if partitions else []), "doc_id", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = WordEncoder(vocab), TaskContext.get().partitionId(), 0
+        encoder, part, before = worker_encoder(vocab), TaskContext.get().partitionId(), 0
         for b, texts in slices(batches, "text"):
             ids, offsets = encoder.encode(texts)
             n = np.diff(offsets)
@@ -202,7 +233,7 @@ def encode_documents(docs: DataFrame, vocab: str | None = None, id_col: str = "d
                 names=["doc_id", "part", "part_start", "n_tokens", "tokens"])
             before += int(offsets[-1])
 
-    return order.sortWithinPartitions("doc_id").mapInArrow(
+    return order.sortWithinPartitions("doc_id", "row").drop("row").mapInArrow(
         run, f"doc_id {kind}, part int, part_start bigint, n_tokens bigint, tokens array<int>")
 
 
