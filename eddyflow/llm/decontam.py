@@ -15,9 +15,10 @@ Words are runs of letters and digits, lower case.  An item of fewer than five
 words is one shingle of all its words.
 
 Defined results: null or wordless items and documents match nothing; repeated
-documents rows give one pair; a document id that occurs with several texts is
-judged by its best text, rows without an id each by their own; empty tables give empty results; extra columns are
-ignored.
+documents rows give one pair; of a document id that occurs with several texts the
+best text makes the pair, rows without an id each make their own; rows are dropped by
+their own text; texts of any length are searched whole; empty tables give empty
+results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -114,7 +115,8 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
     pair with containment of at least ``threshold``."""
     classes, members = item_classes(items)
     found = (contaminated_texts(docs, classes, threshold, id_col, text_col)
-             .groupBy("doc_id", "i_class", "size").agg(F.max("found").alias("found")))
+             .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("own"), "i_class", "size")
+             .agg(F.max("found").alias("found")))
     return (found.join(members, F.col("i_class") == F.col("class_id"))
             .select("doc_id", "item_id", F.col("size").cast("long").alias("item_shingles"),
                     F.col("found").cast("long").alias("found_shingles"),
@@ -124,9 +126,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, threshold: float = THR
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all columns."""
     classes, _ = item_classes(items)
-    # Rows without an id are documents of their own: the text tells them apart.
-    own = lambda hashed: F.when(F.col("doc_id").isNull(), hashed)
     bad = contaminated_texts(docs, classes, threshold).select(
-        F.col("doc_id").alias("_bad_id"), own(F.col("text_hash")).alias("_bad_text")).distinct()
+        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"])
-                     & own(F.xxhash64(text_of())).eqNullSafe(bad["_bad_text"]), "left_anti")
+                     & (F.xxhash64(text_of()) == bad["_bad_text"]), "left_anti")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from .langid import DOCUMENT, FOLDS, HELD_OUT, PROFILE, UNKNOWN
 from .prefixtrie import GROUP, MAX_SHARED
-from .quality import MAX_DOCS, MIN_LEFT, MIN_LEFT_SHARE, MIN_SPREAD, MIN_WORDS, SYMBOLS
+from .quality import MAX_DOCS, MIN_LEFT, MIN_LEFT_SHARE, MIN_WORDS, SYMBOLS
 from .resample import BUCKETS, PERCENT, SEED
 from .resample import MIN_WORDS as MIN_DRAWN_WORDS
 from .rpforest import COSINE
@@ -25,8 +25,8 @@ select page_id, cast(n as bigint) as payload_bytes,
     + 16 * cast(substr(bits, 5 * i + 1, 1) as int) + 8 * cast(substr(bits, 5 * i + 2, 1) as int)
     + 4 * cast(substr(bits, 5 * i + 3, 1) as int) + 2 * cast(substr(bits, 5 * i + 4, 1) as int)
     + cast(substr(bits, 5 * i + 5, 1) as int) as int), 1)), 'string_agg', '') as payload_digest,
-  case when page_id = keeper then 'response' else 'revisit' end as record_type,
-  case when page_id < keeper then keeper end as refers_to
+  case when page_id is not distinct from keeper then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from keeper then keeper end as refers_to
 from b
 """
 
@@ -49,11 +49,11 @@ norm as (
   select doc_id, host, raw, words, list_transform(raw, lambda l: lower(trim(regexp_replace(l, '{_SPACE}', ' ', 'g')))) as ls
   from d),
 ln as (select doc_id, host, len(words) as n_words, unnest(ls) as l,
-              list_aggregate(list_transform(ls, lambda x: md5(x)), 'min') as sig from norm),
+              md5(list_aggregate(ls, 'string_agg', chr(10))) as sig from norm),
 per as (select host, l, doc_id, sig, n_words, count(*) as k, len(string_split(l, ' ')) as lw
         from ln group by all),
 bad as (select host, l from per group by host, l
-        having count(distinct sig) > {MAX_DOCS} and count(distinct sig) >= {MIN_SPREAD} * count(distinct doc_id)),
+        having count(distinct sig) > {MAX_DOCS}),
 lost as (select doc_id, n_words - sum(k * lw) as kept_words, n_words
          from per join bad using (host, l) group by doc_id, n_words),
 base as (
@@ -135,7 +135,8 @@ from d left join best b on b.doc_id = d.doc_id and b.k = 1
 
 OP9 = r"""
 with w as (
-  select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as ws
+  select doc_id, case when doc_id is null then text end as own,
+    list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as ws
   from documents),
 b as (
   select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as ws
@@ -146,10 +147,10 @@ items as (
         from b where len(ws) > 0)),
 sizes as (select item_id, count(*) as size from items group by item_id),
 runs as (
-  select distinct doc_id, list_aggregate(ws[i : i + n - 1], 'string_agg', ' ') as g
-  from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i
+  select distinct doc_id, own, list_aggregate(ws[i : i + n - 1], 'string_agg', ' ') as g
+  from (select doc_id, own, ws, n, unnest(range(1, len(ws) - n + 2)) as i
         from w, (select distinct n from items) where len(ws) >= n)),
-f as (select doc_id, item_id, count(*) as found from runs join items using (g) group by all)
+f as (select doc_id, own, item_id, count(*) as found from runs join items using (g) group by all)
 select doc_id, item_id, cast(size as bigint) as item_shingles, cast(found as bigint) as found_shingles,
   cast(found as double) / size as containment
 from f join sizes using (item_id) where found >= 0.8 * size - 1e-9

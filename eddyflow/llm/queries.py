@@ -29,7 +29,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_quality(table(spark, sf_dir, "documents")).drop("text_hash")
+    return judge_quality(table(spark, sf_dir, "documents")).drop("host", "text_hash")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

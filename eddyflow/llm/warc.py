@@ -7,7 +7,8 @@ the response with the largest id; the others are revisits that refer to it.
 The index (archive, offset, length, record) is a table; only archives of tasks
 that ended well are in it.
 
-Reading: each task streams archives in pieces of ``CHUNK`` bytes and gives rows
+Reading: the index cuts archives into runs of records of about ``READ_BYTES``, dealt
+one a task; a task streams its run in pieces of ``CHUNK`` bytes and gives rows
 (record, chunk number, position, running SHA-1, optionally the bytes); the last
 row of a record holds the digest of the whole payload, which is compared with
 the record's header; this side never holds a whole record.  Cutting payloads into
@@ -15,8 +16,9 @@ rows does: memory there grows with the longest record (about twice its bytes).
 
 Defined results: a null payload is empty; an empty payload is a payload like any
 other; rows repeated with one id are records of their own (all responses if the
-id is the largest); a null id is written as such and never refers to itself; an
-empty table gives an empty result; extra columns are ignored.
+id is the largest); a null id is written as such and is smaller than every other
+(records of one payload that all lack an id are all responses); an empty table
+gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from .common import written
 
 CHUNK = 256 << 10
 ARCHIVE_BYTES = 512 << 20
+READ_BYTES = 64 << 20  # a reading task's share of an archive
 DATE = "2000-01-01T00:00:00Z"  # records carry no capture time; a fixed one keeps archives repeatable
 CDX = "archive string, offset bigint, length bigint, record string"
 CHUNKS = ("record string, record_type string, refers_to string, chunk_no bigint, position bigint, n_bytes bigint, "
@@ -62,7 +65,8 @@ def record_kinds(pages: DataFrame, id_col: str, payload) -> DataFrame:
     shared = (narrow.groupBy("r_sha1", "r_bytes").agg(F.max("r_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select(F.col("r_sha1").alias("k_sha1"), F.col("r_bytes").alias("k_bytes"), "keeper"))
     return (narrow.join(shared, (F.col("r_sha1") == F.col("k_sha1")) & (F.col("r_bytes") == F.col("k_bytes")))
-            .where(F.col("r_id") < F.col("keeper")).select("r_id", "r_sha1", "keeper").distinct())
+            .where(~F.col("r_id").eqNullSafe(F.col("keeper")) & F.col("keeper").isNotNull())
+            .select("r_id", "r_sha1", "keeper").distinct())
 
 
 def chunk_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
@@ -222,20 +226,34 @@ def stream_records(stream, chunk: int = CHUNK, with_data: bool = True) -> Iterat
             raise ValueError(f"bytes after record {record}")
 
 
-def read_chunks(cdx: DataFrame, chunk: int = CHUNK, with_data: bool = True) -> DataFrame:
+class _Run:
+    """A file from one position to another, as a stream."""
+
+    def __init__(self, file, first: int, end: int):
+        file.seek(first)
+        self.file, self.left = file, end - first
+
+    def read(self, size: int) -> bytes:
+        got = self.file.read(min(size, self.left))
+        self.left -= len(got)
+        return got
+
+
+def read_chunks(cdx: DataFrame, chunk: int = CHUNK, with_data: bool = True, read_bytes: int = READ_BYTES) -> DataFrame:
     """The chunked record table of the archives in the index."""
-    archives = cdx.select("archive").distinct()
+    runs = written(cdx.groupBy("archive", F.floor(F.col("offset") / read_bytes).alias("no")).agg(
+        F.min("offset").alias("first"), F.max(F.col("offset") + F.col("length")).alias("end")), "runs")
     names = CHUNKS.replace(" string", "").replace(" bigint", "").replace(" boolean", "").replace(" binary", "").split(", ")
     schema = pa.schema([(n, {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_(),
                              "binary": pa.binary()}[t]) for n, t in (x.split() for x in CHUNKS.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path in b.column("archive").to_pylist():
+            for path, first, end in zip(*(b.column(c).to_pylist() for c in ("archive", "first", "end"))):
                 store, where = open_store(path)
                 rows, held = [], 0
-                with store.open_input_stream(where, compression=None) as stream:
-                    for r in stream_records(stream, chunk, with_data):
+                with store.open_input_file(where) as file:
+                    for r in stream_records(_Run(file, first, end), chunk, with_data):
                         rows.append(r)
                         held += len(r[-1] or b"") + 100
                         if held >= 4 << 20:
@@ -246,8 +264,9 @@ def read_chunks(cdx: DataFrame, chunk: int = CHUNK, with_data: bool = True) -> D
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
                                                      names=names)
 
-    # One archive is one unit of work: deal them out by count, not by bytes.
-    return archives.repartition(max(1, archives.count()), "archive").mapInArrow(run, CHUNKS)
+    # A run is one unit of work: ranges over distinct keys put each into a partition of its own.
+    ranged = runs.repartitionByRange(max(1, runs.count()), "archive", "no").select("archive", "first", "end")
+    return ranged.mapInArrow(run, CHUNKS)
 
 
 def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

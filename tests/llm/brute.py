@@ -26,16 +26,16 @@ def base_counts(text):
             "base_failed": n < 10 or 100 * len(repeated) > 20 * n}
 
 
-def quality(rows, max_docs=20, min_spread=0.5, min_left=10, min_left_share=0.2):
+def quality(rows, max_docs=20, min_left=10, min_left_share=0.2):
     """rows: (doc_id, text, source) -> list of dicts in the same order."""
     norm = [[" ".join(words(x)).lower() for x in (t or "").split("\n") if words(x)] for _, t, _ in rows]
     docs, sigs = defaultdict(set), defaultdict(set)
     for (i, t, h), ls in zip(rows, norm):
-        sig = min((hashlib.md5(x.encode()).hexdigest() for x in ls), default=None)
+        sig = "\n".join(ls)
         for x in ls:
             docs[h, x].add((i, t))
             sigs[h, x].add(sig)
-    bad = {k for k in docs if len(sigs[k]) > max_docs and len(sigs[k]) >= min_spread * len(docs[k])}
+    bad = {k for k in sigs if len(sigs[k]) > max_docs}
     out = []
     for (i, t, h), ls in zip(rows, norm):
         b = base_counts(t)

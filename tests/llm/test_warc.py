@@ -4,6 +4,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from eddyflow.llm.warc import (archive_round_trip, base32, chunk_rows, open_store, read_chunks, stream_records,
                                write_archives)
@@ -58,6 +59,17 @@ def test_chunks_carry_running_digests_and_the_whole_payload(spark):
         assert b"".join(r["data"] for r in chunks) == want[record]
 
 
+def test_archives_are_read_by_many_tasks(spark):
+    rows = [(i, "u", f"page {i} " * 300) for i in range(200)]
+    cdx = write_archives(chunk_rows(frame(spark, rows)).repartition(8, "record"), shared_path(spark, "w"))
+    for size, tasks in ((64 << 20, 8), (4096, 8)):
+        back = read_chunks(cdx, read_bytes=size)
+        runs = cdx.selectExpr("archive", f"offset div {size} as no").distinct().count()
+        held = back.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(held) == runs >= tasks
+        assert sorted(int(r["record"]) for r in back.collect()) == list(range(200))
+
+
 def test_archives_are_plain_gzip_members_and_the_index_points_at_them(spark):
     cdx = write_archives(chunk_rows(frame(spark, rows_of())), shared_path(spark, "w"))
     for r in cdx.collect():
@@ -85,5 +97,7 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     got = archive_round_trip(frame(spark, [(1, "u", "a"), (1, "u", "a"), (None, "u", "a"), (None, "u", "b")])).collect()
     assert sorted((str(r["page_id"]), r["record_type"], str(r["refers_to"])) for r in got) == [
         ("1", "response", "None"), ("1", "response", "None"), ("None", "response", "None"),
-        ("None", "response", "None")]
+        ("None", "revisit", "1")]
+    alone = archive_round_trip(frame(spark, [(None, "u", "a"), (None, "v", "a")])).collect()
+    assert [(r["record_type"], r["refers_to"]) for r in alone] == [("response", None)] * 2
     assert archive_round_trip(frame(spark, [])).count() == 0
