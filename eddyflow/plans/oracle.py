@@ -83,6 +83,10 @@ def oracle_queries() -> dict[str, str]:
               {_WORDS.format(keep='batch_id,', table='(SELECT text, dense_rank() OVER (ORDER BY turn) - 1 AS batch_id FROM conversations)')}
             ) w GROUP BY batch_id, word""",
         "word_count_running": _word_count("conversations"),
+        "word_state_capped": f"""
+            SELECT word, LEAST(100, SUM(cnt))::BIGINT AS cnt FROM (
+              SELECT word, LEAST(100, cnt) AS cnt FROM ({_word_count('(SELECT p_name AS text FROM part)')}) b
+              UNION ALL {_word_count('benchmark')}) x GROUP BY word""",
         "word_count_sorted": f"""
             SELECT word, cnt, row_number() OVER (ORDER BY cnt, word) AS position
             FROM ({_word_count('documents')}) c""",

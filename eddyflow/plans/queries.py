@@ -35,6 +35,7 @@ from ..streaming.offsets import start_offset_ledger
 from ..streaming.orders import (OrderMetricsBatch, lines_with_province, order_totals, start_order_metrics,
                                 stored_offsets)
 from ..streaming.runner import run_to_end
+from ..streaming.state import start_running_state, stored_state
 from ..streaming.staging import stream_folder, stream_lines, stream_table
 from ..streaming.wordcount import (per_key_counts, running_counts, start_per_batch_word_count,
                                    start_running_word_count)
@@ -47,6 +48,8 @@ EVENTS_GROUP = "eddy-events"
 LOG_SEGMENTS = 8
 # Registered streams fold their ledgers after this many batches.
 FOLD_EVERY = 2
+# The user-given state update stops counting a word here.
+STATE_CAP = 100
 # Job names in the ledgers.
 ORDERS = "orders"
 
@@ -121,6 +124,26 @@ def q_word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running_counts(spark, f"{base}/out")
 
 
+def q_word_state_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running state with an update function of its own: words are counted up to
+    ``STATE_CAP`` and no further in the benchmark texts, starting from those of the
+    part names.
+    The state is read back from the checkpoint."""
+    cap = STATE_CAP
+
+    def capped(word: str, n: int, old: dict | None) -> dict:
+        return {"cnt": min(cap, n + (old["cnt"] if old else 0))}
+
+    checkpoint = f"{shared_path(spark, 'state')}/ckpt"
+    start = word_count(read_table(spark, sf_dir, "part", "p_name"), "p_name").select(
+        "word", F.least("cnt", F.lit(cap)).alias("cnt"))
+    stream = stream_table(spark, sf_dir, "benchmark").select(F.col("text").alias("value"))
+    run_to_end(start_running_state(stream, capped, "cnt bigint", lambda batch, i: batch.foreachPartition(lambda rows: None),
+                                   checkpoint, trigger="available_now", state_partitions=default_parallelism(spark),
+                                   initial=start))
+    return stored_state(spark, checkpoint)
+
+
 # ------------------------------------------------------------ order lines
 
 def q_order_lines_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,6 +318,7 @@ QUERIES: dict[str, QueryFn] = {
     "word_count": q_word_count,
     "word_count_per_batch": q_word_count_per_batch,
     "word_count_running": q_word_count_running,
+    "word_state_capped": q_word_state_capped,
     "word_count_sorted": q_word_count_sorted,
     "word_count_top10": q_word_count_top10,
     "word_count_store": q_word_count_store,
