@@ -92,6 +92,10 @@ def oracle_queries() -> dict[str, str]:
             FROM ({_word_count('documents')}) c""",
         "word_count_top10": f"{_word_count('documents')} ORDER BY cnt DESC, word LIMIT 10",
         "word_count_store": _word_count("benchmark"),
+        "word_store_lookup": f"""
+            SELECT word, SUM(cnt)::BIGINT AS cnt FROM (
+              {_word_count('documents')} UNION ALL {_word_count('conversations')} UNION ALL {_word_count('benchmark')}) x
+            WHERE starts_with(word, 'st') GROUP BY word""",
         "order_lines_parsed": f"WITH {_LINES} SELECT buyer, ip, category, item, price FROM parsed",
         "order_total_income": f"WITH {_LINES} SELECT {_MONEY} AS total_income FROM parsed",
         "order_income_by_category": f"WITH {_LINES} SELECT category, {_MONEY} AS income FROM parsed GROUP BY category",

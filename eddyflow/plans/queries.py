@@ -30,7 +30,7 @@ from ..sources.recordlog import resumed, write_record_log
 from ..sources.records import EVENT_PARTITIONS, RECORD_SCHEMA, records_from_events, records_from_order_log
 from ..sources.rules import parse_rule_lines, rule_lines_from_nations
 from ..sources.tables import read_table
-from ..streaming.ledger import metric_ledger, offset_ledger
+from ..streaming.ledger import metric_ledger, offset_ledger, per_batch_ledger
 from ..streaming.offsets import start_offset_ledger
 from ..streaming.orders import (OrderMetricsBatch, lines_with_province, order_totals, start_order_metrics,
                                 stored_offsets)
@@ -50,8 +50,11 @@ LOG_SEGMENTS = 8
 FOLD_EVERY = 2
 # The user-given state update stops counting a word here.
 STATE_CAP = 100
+# Words are looked up in the store by this prefix.
+STORE_PREFIX = "st"
 # Job names in the ledgers.
 ORDERS = "orders"
+WORDS = "words"
 
 
 # ---------------------------------------------------------------- inputs
@@ -144,6 +147,17 @@ def q_word_state_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_state(spark, checkpoint)
 
 
+def q_word_store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of three tables stored as three batches, two of them folded; the words
+    of one prefix read back from the sorted parts and the batch beside them."""
+    ledger = per_batch_ledger(shared_path(spark, "word_store"))
+    for batch_id, table in enumerate(("documents", "conversations", "benchmark")):
+        ledger.write(word_count(read_table(spark, sf_dir, table, "text", spread=True)), WORDS, "direct", batch_id)
+        if batch_id < 2:
+            ledger.fold(spark, WORDS, "direct", batch_id)
+    return ledger.find(spark, WORDS, F.col("word").startswith(STORE_PREFIX))
+
+
 # ------------------------------------------------------------ order lines
 
 def q_order_lines_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,6 +336,7 @@ QUERIES: dict[str, QueryFn] = {
     "word_count_sorted": q_word_count_sorted,
     "word_count_top10": q_word_count_top10,
     "word_count_store": q_word_count_store,
+    "word_store_lookup": q_word_store_lookup,
     "order_lines_parsed": q_order_lines_parsed,
     "order_total_income": q_order_total_income,
     "order_income_by_category": q_order_income_by_category,

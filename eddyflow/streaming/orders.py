@@ -9,7 +9,7 @@ written, and which a resume from the offsets will read again, counts once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -84,18 +84,23 @@ def start_order_metrics(stream: DataFrame, job: OrderMetricsBatch, checkpoint: s
 
 
 def order_totals(spark: SparkSession, metric_ledger: str, query: str | None = None,
-                 offset_ledger: str | None = None, group_id: str | None = None) -> DataFrame:
+                 offset_ledger: str | None = None, group_id: str | None = None,
+                 wanted: Column | None = None) -> DataFrame:
     """``metric, key, income`` accumulated over every batch written so far; with
-    the job's offset ledger, over every batch whose offsets are stored."""
+    the job's offset ledger, over every batch whose offsets are stored.  ``wanted``,
+    a predicate on ``metric`` and ``key``, reads only those totals."""
     committed = None
     if offset_ledger:
         committed = offsets_at(offset_ledger).positions(spark, group_id or query)
-    return running_totals(metrics_at(metric_ledger).read(spark, query, committed))
+    deltas = metrics_at(metric_ledger).read(spark, query, committed)
+    return running_totals(deltas if wanted is None else deltas.where(wanted))
 
 
-def flat_totals(spark: SparkSession, metric_ledger: str) -> DataFrame:
-    """``key, value`` in one flat key space over every query's deltas."""
-    return flat_view(metrics_at(metric_ledger).read(spark))
+def flat_totals(spark: SparkSession, metric_ledger: str, wanted: Column | None = None) -> DataFrame:
+    """``key, value`` in one flat key space over every query's deltas; with
+    ``wanted``, a predicate on ``key``, of those keys alone."""
+    deltas = metrics_at(metric_ledger).read(spark)
+    return flat_view(deltas if wanted is None else deltas.where(wanted))
 
 
 def stored_offsets(spark: SparkSession, offset_ledger: str, group_id: str) -> DataFrame:

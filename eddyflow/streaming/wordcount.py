@@ -7,7 +7,7 @@ a new checkpoint writes beside the runs before it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -105,9 +105,10 @@ def start_running_word_count(stream: DataFrame, out_path: str, checkpoint: str,
         return with_trigger(writer, trigger).start()
 
 
-def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
+def running_counts(spark: SparkSession, out_path: str, wanted: Column | None = None) -> DataFrame:
     """Current totals: a state store's counts only grow, so the latest total of
     a word is its largest (a combinable max); every checkpoint counted records
-    of its own, so their totals add up."""
-    ledger = running_ledger(out_path)
-    return ledger.folded(ledger.read(spark, JOB)).groupBy("word").agg(F.sum("cnt").alias("cnt"))
+    of its own, so their totals add up.  ``wanted``, a predicate on ``word``, reads
+    only those words."""
+    found = running_ledger(out_path).find(spark, JOB, F.lit(True) if wanted is None else wanted)
+    return found.groupBy("word").agg(F.sum("cnt").alias("cnt"))
