@@ -14,10 +14,12 @@ context's rank so that the whole level ascends (all in Elias-Fano form), and
 probabilities quantised to 8 bits.  A pair is looked up by finding its context,
 then the successor of its shifted id within that context's range.
 
-Spark moves each token once: a task turns a slice of documents into packed pairs
-by shard (sorted, byte planes, zstd); a shard's task counts the training pairs,
-writes its trie, maps it and looks all its pairs up; it returns, per slice, how
-much each document gains over backing off everywhere.  Shards get about
+A task turns a slice of documents (``SLICE_BYTES``) into its distinct pairs by
+shard, each with its training count (sorted, byte planes, zstd); which document has
+which pair stays with the slice.  A shard's task adds the counts up, writes its
+trie, maps it and looks its pairs up; it returns, per slice, what each pair gains
+over backing off, and the slice adds that up by document.  However often a pair
+occurs, a shard gets it once a slice.  Shards get about
 ``SHARD_TOKENS`` training tokens, so their number grows with the corpus; the
 successors of a context too frequent for one shard are dealt over several (the
 smoothing needs only c(b), which the unigram level has).
@@ -172,16 +174,22 @@ class Vocabulary:
         self.size = sum(n for _, n, _ in files)
         self.by_bucket = {}
         self.starts = []
-        self.parts = []
+        self.files: list[str] = []
+        self.opened: dict[int, list[np.ndarray]] = {}
         at = 0
         for bucket, n, path in sorted(files):
-            hashes, counts = (x.view("<u8") for x in unpack_arrays(map_file(path)))
-            self.by_bucket[bucket] = len(self.parts)
+            self.by_bucket[bucket] = len(self.files)
             self.starts.append(at)
-            self.parts.append((hashes, counts))
+            self.files.append(path)
             at += n
         self.unknown, self.start = self.size, self.size + 1
 
+    def part(self, k: int) -> list[np.ndarray]:
+        """(hashes, counts) of a file."""
+        if k not in self.opened:
+            self.opened[k] = [x.view("<u8") for x in unpack_arrays(map_file(self.files[k]))]
+        return self.opened[k]
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Ids; ``unknown`` for words that training has not."""
         out = np.full(len(hashes), self.unknown, np.int64)
@@ -189,7 +197,7 @@ class Vocabulary:
         for b in np.unique(bucket).tolist():
             if b in self.by_bucket:
                 k = self.by_bucket[b]
-                own, mine = self.parts[k][0], np.flatnonzero(bucket == b)
+                own, mine = self.part(k)[0], np.flatnonzero(bucket == b)
                 at = np.minimum(np.searchsorted(own, hashes[mine]), len(own) - 1)
                 hit = own[at] == hashes[mine]
                 out[mine[hit]] = self.starts[k] + at[hit]
@@ -202,7 +210,7 @@ class Vocabulary:
         part = np.searchsorted(self.starts, ids, "right") - 1
         for k in np.unique(part[ids < self.size]).tolist():
             mine = np.flatnonzero((part == k) & (ids < self.size))
-            out[mine] = self.parts[k][1][ids[mine] - self.starts[k]]
+            out[mine] = self.part(k)[1][ids[mine] - self.starts[k]]
         return out
 
     def log_unigram(self, counts: np.ndarray) -> np.ndarray:
@@ -260,11 +268,24 @@ def facts_group(number: int) -> int:
     return -1 - number
 
 
-def pack_pairs(context: np.ndarray, word: np.ndarray, doc: np.ndarray, train: np.ndarray) -> bytes:
-    """Pairs sorted by context: differences and ids in byte planes, zstd."""
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers in byte planes, zstd."""
+    raw = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(len(numbers), 4).T).tobytes()
+    return np.array([len(raw)], "<u8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    size = int(np.frombuffer(data[:8], "<u8")[0])
+    raw = np.frombuffer(pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, size // 4).T).view("<u4").ravel()
+
+
+def pack_pairs(context: np.ndarray, word: np.ndarray, count: np.ndarray, train: np.ndarray) -> bytes:
+    """Pairs sorted by context, a 32-bit number and a mark for each: differences and
+    ids in byte planes, zstd."""
     gaps = np.diff(context, prepend=0).astype("<u8")
     planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
-              for x in (gaps, word.astype("<u8"), doc.astype("<u4"))]
+              for x in (gaps, word.astype("<u8"), count.astype("<u4"))]
     raw = np.array([len(word)], "<u8").tobytes() + b"".join(planes) + np.packbits(train).tobytes()
     return np.array([len(raw)], "<u8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
 
@@ -368,20 +389,30 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             train = ~b.column("held_out").to_numpy(zero_copy_only=False)
             # Pairs with a word that training has not cannot be in the trie.
             ask = np.flatnonzero((word != vocabulary.unknown) & (context != vocabulary.unknown))
-            shard = shard_of(context[ask], word[ask], context_seen[ask], shards, quota)
-            order = np.lexsort((word[ask], context[ask], shard))
-            ask, shard = ask[order], shard[order]
+            pairs, first_at, place = np.unique(
+                (context[ask].astype(np.uint64) << np.uint64(32)) | word[ask].astype(np.uint64),
+                return_index=True, return_inverse=True)
+            learned = np.bincount(place[train[doc[ask]]], minlength=len(pairs))
+            left, right = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            shard = shard_of(left, right, context_seen[ask][first_at], shards, quota)
+            order = np.argsort(shard, kind="stable")  # pairs ascend within a shard
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            shard = shard[order]
             edges = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
-            rows = [(int(shard[i]), number, pack_pairs(context[s], word[s], doc[s], train[doc[s]]))
-                    for i, j in zip(edges, [*edges[1:], len(ask)]) for s in [ask[i:j]]]
+            rows = [(int(shard[i]), number, pack_pairs(left[s], right[s], learned[s], learned[s] > 0))
+                    for i, j in zip(edges, [*edges[1:], len(order)]) for s in [order[i:j]]]
             facts = pa.table([b.column("doc_id"), b.column("held_out"), pa.array(n), pa.array(known),
                               pa.array(plain), pa.array(floor)],
                              names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "floor"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, facts.schema) as w:
                 w.write_table(facts)
-            # The documents' own numbers pass by the shards' tasks.
-            rows.append((facts_group(number), number, sink.getvalue().to_pybytes()))
+            # The slice's own numbers, and the pair of each token by its place among
+            # the pairs in order of their shards, pass by the shards' tasks.
+            own = pack_arrays([np.frombuffer(x, np.uint8) for x in (
+                sink.getvalue().to_pybytes(), pack_numbers(doc[ask]), pack_numbers(rank[place]))])
+            rows.append((facts_group(number), number, own))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
                                               pa.array([r[1] for r in rows], pa.int64()),
                                               pa.array([r[2] for r in rows], pa.binary())],
@@ -391,47 +422,39 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def score_shard(key, group):
         shard = key[0].as_py()
         if shard < 0:
-            return group.select(["slice", "data"]).append_column("facts", pa.array([True] * len(group)))
+            return group.select(["slice", "data"]).append_column("shard", pa.array([-1] * len(group), pa.int64()))
         parts = [unpack_pairs(x) for x in group.column("data").to_pylist()]
-        context, word, doc, train = (np.concatenate(x) for x in zip(*parts))
+        context, word, learned, _ = (np.concatenate(x) for x in zip(*parts))
         ends = np.cumsum([len(p[0]) for p in parts])
         pairs = (context.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
-        doc = doc.astype(np.int32)
         del parts, context, word  # a shard's arrays are the task's memory
+        asked, back = np.unique(pairs, return_inverse=True)
+        counts = np.bincount(back, learned, len(asked)).astype(np.int64)
+        del pairs, learned
         vocabulary = Vocabulary(files, bits, total, documents)
-        seen_pairs, seen_counts = np.unique(pairs[train], return_counts=True)
         name = f"{path}/pairs-{shard:08d}"
-        put_file(name, build_trie(seen_pairs, seen_counts, vocabulary))
-        del seen_pairs, seen_counts, train
+        put_file(name, build_trie(asked[counts > 0], counts[counts > 0], vocabulary))
         trie = Trie(map_file(name), vocabulary.size)
-        asked, back = np.unique(pairs, return_inverse=True)
         ids = (asked >> np.uint64(32)).astype(np.int64), (asked & np.uint64(0xFFFFFFFF)).astype(np.int64)
         floor = log_back_off(vocabulary.counts(ids[0])) + vocabulary.log_unigram(vocabulary.counts(ids[1]))
-        gain = np.nan_to_num(trie.log_probability(asked) - floor)[back]
-        out = []
-        for a, b in zip([0, *ends[:-1]], ends):
-            mine, total_gain = np.unique(doc[a:b]), np.bincount(doc[a:b], gain[a:b])
-            out.append(pack_arrays([as_bytes(mine.astype("<u4")), as_bytes(total_gain[mine])]))
+        gain = np.nan_to_num(trie.log_probability(asked) - floor).astype("<f4")[back]
+        out = [gain[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
         return pa.table({"slice": group.column("slice"), "data": pa.array(out, pa.binary()),
-                         "facts": pa.array([False] * len(out))})
+                         "shard": pa.array([shard] * len(out), pa.int64())})
 
     def add_up(group):
-        facts, gains = None, []
-        for data, is_facts in zip(group.column("data").to_pylist(), group.column("facts").to_pylist()):
-            if is_facts:
-                facts = pa.ipc.open_stream(data).read_all()
-            else:
-                mine, gain = unpack_arrays(np.frombuffer(data, np.uint8))
-                gains.append((mine.view("<u4"), gain.view(np.float64)))
-        score = facts.column("floor").to_numpy().copy()
-        for mine, gain in gains:
-            score[mine] += gain
+        rows = sorted(zip(group.column("shard").to_pylist(), group.column("data").to_pylist()))
+        facts, doc, place = unpack_arrays(np.frombuffer(rows[0][1], np.uint8))  # shard -1
+        facts = pa.ipc.open_stream(pa.py_buffer(facts)).read_all()
+        gain = np.concatenate([np.zeros(0, "<f4"), *(np.frombuffer(data, "<f4") for _, data in rows[1:])])
+        score = facts.column("floor").to_numpy() + np.bincount(
+            unpack_numbers(doc.tobytes()), gain[unpack_numbers(place.tobytes())].astype(np.float64), len(facts))
         return facts.drop_columns(["floor"]).append_column("score", pa.array(score)).append_column(
             "train_tokens", pa.array(np.full(len(score), total, np.int64)))
 
     schema = (f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, "
               "train_tokens bigint")
     routed = base.mapInArrow(route, "shard bigint, slice bigint, data binary")
-    scored = routed.groupBy("shard").applyInArrow(score_shard, "slice bigint, data binary, facts boolean")
+    scored = routed.groupBy("shard").applyInArrow(score_shard, "slice bigint, data binary, shard bigint")
     return scored.groupBy("slice").applyInArrow(add_up, schema).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
