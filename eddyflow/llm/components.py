@@ -3,8 +3,8 @@
 Alternating large-star and small-star steps: every node passes the smallest
 neighbour it knows to its larger (then to its smaller) neighbours, until links
 form stars around each component's smallest node.  Nodes with many links are
-handled by a map-side combined minimum and a join that AQE may split; no group
-of links is gathered in one task.
+handled by a map-side combined minimum and a join in parts; no group of links is
+gathered in one task.
 """
 
 from __future__ import annotations
@@ -14,12 +14,21 @@ from pyspark.sql import functions as F
 
 from .common import written
 
+SALTS = 64  # one bit each of a bigint
+
 
 def _with_min(pairs: DataFrame) -> DataFrame:
-    """``u, v, m``: m is the smallest of u and all its v."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("mu"), F.least("m", "u").alias("m"))
-    return pairs.join(least, F.col("u") == F.col("mu")).select("u", "v", "m")
+    """``u, v, m``: m is the smallest of u and all its v.  The links of a node are
+    dealt over ``SALTS`` groups by their other end; the minimum goes to the groups
+    that the node has, so that a node with very many links is joined in parts."""
+    salt = F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")
+    used = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), salt))
+    groups = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)),
+                      lambda i: F.call_function("shiftrightunsigned", F.col("used"), i).bitwiseAND(F.lit(1)) == 1)
+    least = (pairs.groupBy("u").agg(F.min("v").alias("m"), used.alias("used"))
+             .select(F.col("u").alias("mu"), F.least("m", "u").alias("m"), F.explode(groups).alias("ms")))
+    dealt = pairs.withColumn("s", salt)
+    return dealt.join(least, (F.col("u") == F.col("mu")) & (F.col("s") == F.col("ms"))).select("u", "v", "m")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_of
+from .tokens import slices
 
 PROFILE = 400
 DOCUMENT = 300
@@ -79,10 +80,10 @@ def training_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
 
-        for b in batches:
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+        for b, texts in slices(batches, "text"):
+            for lang, text in zip(b.column("lang").to_pylist(), texts):
                 parts = held.setdefault(lang, [])
-                parts.append(gram_counts(text))
+                parts.append(gram_counts(text.decode()))
                 if len(parts) > 500:
                     held[lang] = [fold_counts(parts)]
         for lang, parts in held.items():
@@ -100,8 +101,9 @@ def language_profiles(docs: DataFrame, size: int = PROFILE, lang_col: str = "lan
                       text_col: str = "text") -> DataFrame:
     """``lang, gram, rank`` of the ``size`` most frequent n-grams."""
     by = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    return (training_counts(docs, lang_col, text_col).withColumn("rank", F.row_number().over(by) - 1)
-            .where(F.col("rank") < size).select("lang", "gram", "rank"))
+    # A filter on the row number itself keeps `size` rows a language and task before the shuffle.
+    return (training_counts(docs, lang_col, text_col).withColumn("place", F.row_number().over(by))
+            .where(F.col("place") <= size).select("lang", "gram", (F.col("place") - 1).alias("rank")))
 
 
 def predict_languages(docs: DataFrame, profiles: DataFrame, size: int = PROFILE, top: int = DOCUMENT,
@@ -126,8 +128,8 @@ def predict_languages(docs: DataFrame, profiles: DataFrame, size: int = PROFILE,
         return langs[best], 1.0 - float(apart[best]) / (len(keys) * size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [judge(t) for t in b.column("text").to_pylist()]
+        for b, texts in slices(batches, "text"):
+            found = [judge(t.decode()) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("text_hash"), b.column("held_out"),
                  pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],

@@ -12,7 +12,7 @@ one a task; a task streams its run in pieces of ``CHUNK`` bytes and gives rows
 (record, chunk number, position, running SHA-1, optionally the bytes); the last
 row of a record holds the digest of the whole payload, which is compared with
 the record's header; this side never holds a whole record.  Cutting payloads into
-rows does: memory there grows with the longest record (about twice its bytes).
+rows holds the row that a payload comes in, and beside it one chunk at a time.
 
 Defined results: a null payload is empty; an empty payload is a payload like any
 other; rows repeated with one id are records of their own (all responses if the
@@ -80,14 +80,15 @@ def chunk_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     typed = base.join(kinds, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("sha1") == F.col("r_sha1")), "left")
     is_new = F.col("keeper").isNull()
     count = F.when(is_new, F.greatest(F.lit(1), F.ceil(F.octet_length("payload") / chunk))).otherwise(F.lit(1))
-    parts = F.transform(F.sequence(F.lit(0), count.cast("int") - 1), lambda i: F.when(
-        is_new, F.substring(F.col("payload"), i * chunk + 1, F.lit(chunk))).otherwise(F.lit(b"")))
-    return typed.select(
+    # Numbers are exploded, not chunks: each row cuts its own, so a record's chunks never lie in one array.
+    cut = typed.select("*", F.explode(F.sequence(F.lit(0), count.cast("int") - 1)).alias("chunk_no"))
+    return cut.select(
         F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("record"), "url",
         F.when(is_new, "response").otherwise("revisit").alias("record_type"),
         F.col("keeper").cast("string").alias("refers_to"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"), "sha1",
-        F.posexplode(parts).alias("chunk_no", "data"))
+        F.octet_length("payload").cast("long").alias("payload_bytes"), "sha1", "chunk_no",
+        F.when(is_new, F.substring(F.col("payload"), F.col("chunk_no") * chunk + 1, F.lit(chunk)))
+        .otherwise(F.lit(b"")).alias("data"))
 
 
 def write_archives(chunks: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:

@@ -262,3 +262,11 @@ def test_sharding_of_few_repeated_and_no_rows(spark):
     assert shard_documents(docs(spark, [])).count() == 0
     for rows in ([(1, "a")], [(7, "t")] * 30, [(i, None) for i in range(9)]):
         check_shards(rows, shard_documents(docs(spark, rows)).collect())
+
+
+def test_profiles_keep_few_rows_before_the_shuffle(spark):
+    from eddyflow.llm.langid import language_profiles
+    docs = spark.createDataFrame([("en", "the cat and the dog"), ("de", "der Hund und die Katze")], "lang string, text string")
+    got = language_profiles(docs, 5)
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["lang"], r["rank"]) for r in got.collect()) == [(x, i) for x in ("de", "en") for i in range(5)]
