@@ -379,3 +379,39 @@ def test_registered_streams_run_several_batches(spark):
             assert any(len(b) >= 3 for b in rows.values()), (name, rows)
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_offsets_and_deltas_come_from_one_read_and_nothing_is_cached(spark, tmp_path):
+    metrics, offsets = str(tmp_path / "m"), str(tmp_path / "o")
+    job = OrderMetricsBatch(_sf_rules(spark), metrics, "q", offset_ledger=offsets, group_id="g")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [("a/b", i % 3, i, None, f"A 16.0.0.1 c{i % 2} i {i}") for i in range(90)]
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    job(spark.createDataFrame(rows, RECORDS).mapInArrow(counted, RECORDS), 0)
+    assert read.value == 90
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+    assert {(r["topic"], r["partitioner"]): r["offset"] for r in stored_offsets(spark, offsets, "g").collect()} == {
+        ("a/b", 0): 88, ("a/b", 1): 89, ("a/b", 2): 90}
+    totals = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, metrics, "q", offsets, "g").collect()}
+    assert totals[("total", "TOTAL_INCOME")] == sum(range(90)) and totals[("category", "c0")] == sum(range(0, 90, 2))
+    assert len(totals) == 4
+
+
+def test_malformed_lines_count_as_consumed_only(spark, tmp_path):
+    metrics, offsets, rejects = (str(tmp_path / d) for d in "mor")
+    job = OrderMetricsBatch(_sf_rules(spark), metrics, "q", offset_ledger=offsets, group_id="g", strict=False,
+                            reject_path=rejects)
+    job(spark.createDataFrame([("t", 0, 4, None, "A 16.0.0.1 c i 10"), ("t", 0, 9, None, "A x.y c i 7"),
+                               ("t", 1, 3, None, None), ("t", 2, 0, None, "A 16.0.0.1 d i"),
+                               (None, None, 6, None, "A 16.0.0.1 c i 1")], RECORDS), 0)
+    assert {(r["topic"], r["partitioner"]): r["offset"] for r in stored_offsets(spark, offsets, "g").collect()
+            if r["topic"]} == {("t", 0): 10, ("t", 1): 4, ("t", 2): 1}
+    totals = {(r["metric"], r["key"]): r["income"] for r in order_totals(spark, metrics, "q", offsets, "g").collect()}
+    assert totals[("total", "TOTAL_INCOME")] == 11.0 and ("category", "d") not in totals
+    assert spark.read.parquet(rejects).count() == 3
