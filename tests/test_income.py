@@ -116,6 +116,13 @@ def test_sums_of_no_prices(spark):
     assert total_income(spark.createDataFrame([(0.0,), (-0.0,)], "price double")).first()[0] == 0.0
 
 
+def test_null_prices_leave_no_parts(spark):
+    rows = [("a", 1.5), ("a", None), ("b", None), (None, 2.0), (None, None), ("c", float("nan"))]
+    parts = exact_parts(spark.createDataFrame(rows, "category string, price double"), ["category"], "price")
+    assert parts.columns == ["category", "exponent", "units"]
+    assert sorted(str(r["category"]) for r in parts.collect()) == ["None", "a", "c"]
+
+
 def test_grouping_sets_expand_sums_not_lines(spark):
     plan = metric_deltas(lines_with_province(_lines(spark), _rules(spark)))._jdf.queryExecution().optimizedPlan()
     text = plan.toString()

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from eddyflow.operators import prepare_ranges, range_lookup
 from eddyflow.plans.queries import QUERIES
+from eddyflow.sources.orderlog import order_log_from_tables
+from eddyflow.streaming.ledger import Ledger
 
 SF = "/root/testdata/sf0.001"
 # Streaming queries run their streams when called; their result plans are reads of ledgers.
@@ -55,6 +57,29 @@ def test_metrics_single_aggregate(spark):
     assert "BroadcastHashJoin" in plan
 
 
+@pytest.mark.parametrize("name", ["order_total_income", "order_income_by_category", "order_income_by_zone",
+                                  "order_metrics_one_pass", "metric_store_scan"])
+def test_an_order_line_is_made_once(spark, name, monkeypatch):
+    """No null test on the price carries the line's whole expression into a join."""
+    plans = []
+    monkeypatch.setattr(Ledger, "write", lambda self, rows, *_: plans.append(_plan(rows)))
+    monkeypatch.setattr(Ledger, "read", lambda self, spark: spark.createDataFrame([], self.schema))
+    plans.append(_plan(entry.queries()[name](spark, SF)))
+    assert sum(p.count("regexp_replace") for p in plans) == 1
+
+
+def test_lineitem_is_dealt_only_where_no_join_shuffles_it(spark):
+    assert "RoundRobin" in _plan(order_log_from_tables(spark, SF))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log = order_log_from_tables(spark, SF)
+        assert "SortMergeJoin" in _plan(log) and "RoundRobin" not in _plan(log)
+        assert log.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2**20), st.integers(0, 2**18)), min_size=1, max_size=12),
        st.lists(st.integers(0, 2**21), min_size=1, max_size=40),
