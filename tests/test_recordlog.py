@@ -84,3 +84,20 @@ def test_a_record_appended_later_is_read(spark, tmp_path):
     stored = spark.createDataFrame([("g", "t", 0, 145)], LATEST)
     got = resumed(read_record_log(spark, path, SCHEMA), stored, SEGMENT)
     assert sorted(r["offset"] for r in got.collect()) == list(range(145, 160))
+
+
+def test_a_log_is_written_from_records_made_once(spark, tmp_path):
+    """No sample of the records is drawn before; a segment's files are sorted slices of it."""
+    made, path = spark.sparkContext.accumulator(0), str(tmp_path / "log")
+
+    def make(i):
+        made.add(1)
+        return "t", i % 2, i // 2, None, str(i), None
+
+    write_record_log(spark.createDataFrame(spark.sparkContext.parallelize(range(2000), 4).map(make), RECORD_SCHEMA), path, SEGMENT)
+    assert made.value == 2000
+    log = read_record_log(spark, path, SCHEMA)
+    assert log.count() == 2000 and log.where(F.floor(F.col("offset") / SEGMENT) != F.col("segment")).count() == 0
+    files = log.groupBy("partition", "segment", F.input_file_name()).agg(
+        F.collect_list("offset").alias("o")).collect()
+    assert all(r["o"] == sorted(r["o"]) for r in files) and len(files) <= 9 * 20
